@@ -5,10 +5,13 @@ from __future__ import annotations
 from tidegrid.catalog.registry import ORACLES, QUERIES
 from tidegrid.catalog import (  # noqa: F401  (imported to register)
     grid_queries,
-
-
-
-
+    rule_queries,
+    join_queries,
+    clock_queries,
+    source_queries,
+    gap_queries,
+    history_queries,
+    contract_queries,
 )
 
 __all__ = ["ORACLES", "QUERIES"]

@@ -50,7 +50,7 @@ base AS (
   FROM events WHERE ts >= TIMESTAMP '2024-01-01' AND ts < TIMESTAMP '2024-01-31'),
 trips AS (
   SELECT *, NULLIF(code % 7, 0) AS passengers, NULLIF(code % 10, 9) AS rate_code,
-         fare + code / 4.0::DOUBLE AS total, fare * 0.125::DOUBLE AS tip
+         fare + code / 4.0::DOUBLE AS total, fare * 0.15::DOUBLE + code / 100.0::DOUBLE AS tip
   FROM base)"""
 
 HOURS = (

@@ -73,7 +73,7 @@ def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.nullif(F.col("code") % 7, F.lit(0)).alias("passengers"),
         F.nullif(F.col("code") % 10, F.lit(9)).alias("rate_code"),
         (F.col("fare") + F.col("code") / 4.0).alias("total"),
-        (F.col("fare") * 0.125).alias("tip"),
+        (F.col("fare") * 0.15 + F.col("code") / 100.0).alias("tip"),
     )
 
 
@@ -107,7 +107,7 @@ def legs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(
             ~cancelled,
             to_hhmm((F.col("dep_minute") + F.col("block") + late) % 1440, midnight=2400),
-        ).alias("actual_hhmm"),
+        ).alias("act_hhmm"),
         F.when(~cancelled & ~diverted, late.cast("double")).alias("delay"),
         cancelled.cast("double").alias("cancelled"),
         F.when(F.col("code") != 98, diverted.cast("double")).alias("diverted"),
