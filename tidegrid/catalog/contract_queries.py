@@ -17,7 +17,6 @@ from tidegrid.operators.contracts import (
     null_counts,
     null_disagrees,
     out_of_unit,
-    role_problems,
     roles_table,
 )
 from tidegrid.operators.grid import check_grid
@@ -25,45 +24,74 @@ from tidegrid.plans import clocked, model_table, sites, study
 from tidegrid.plans.entity_hours import entity_hours
 
 
-def _roles(spark):
-    return roles_table(spark, model_table.ROLES, model_table.FEATURES)
+HISTORY_NULLS = """
+nulls AS (
+  SELECT 'n_events' AS column_name, count(*) FILTER (n_events IS NULL) AS nulls FROM hist
+  UNION ALL SELECT 'sum_value', count(*) FILTER (sum_value IS NULL) FROM hist
+  UNION ALL SELECT 'mean_value', count(*) FILTER (mean_value IS NULL) FROM hist
+  UNION ALL SELECT 'n_lag_1h', count(*) FILTER (n_lag_1h IS NULL) FROM hist
+  UNION ALL SELECT 'n_lag_24h', count(*) FILTER (n_lag_24h IS NULL) FROM hist
+  UNION ALL SELECT 'n_lag_168h', count(*) FILTER (n_lag_168h IS NULL) FROM hist
+  UNION ALL SELECT 'n_same_hour_7d', count(*) FILTER (n_same_hour_7d IS NULL) FROM hist
+  UNION ALL SELECT 'value_lag_168h', count(*) FILTER (value_lag_168h IS NULL) FROM hist
+  UNION ALL SELECT 'value_same_hour_7d', count(*) FILTER (value_same_hour_7d IS NULL) FROM hist)"""
 
 
-@query("role_problems", "SELECT 'x' AS column_name, 'y' AS problem WHERE false")
-def problems(spark, sf_dir):
-    """Every column of the model table has exactly one kind of role, so no row comes back."""
-    return role_problems(model_table.model_table(spark, sf_dir), _roles(spark))
+def _history_roles(spark, table, planted=()):
+    """Roles of the columns the history table holds; ``planted`` columns join the features."""
+    present = set(table.columns)
+    features = {g: [c for c in cs if c in present] for g, cs in model_table.FEATURES.items()}
+    roles = {r: [c for c in cs if c in present] for r, cs in model_table.ROLES.items()}
+    if planted:
+        features["planted"] = list(planted)
+    return roles_table(spark, roles, features)
 
 
 @query(
-    "leaks",
-    """SELECT * FROM (VALUES ('sum_value'), ('mean_delay')) t(column_name)""",
+    "role_coverage",
+    f"""WITH {HISTORY}, {HISTORY_NULLS}
+    SELECT 'feature' AS role, CAST(6 AS BIGINT) AS columns, CAST(sum(nulls) AS BIGINT) AS nulls FROM nulls WHERE column_name LIKE '%lag%' OR column_name LIKE '%same%'
+    UNION ALL SELECT 'target', CAST(2 AS BIGINT), CAST(sum(nulls) AS BIGINT) FROM nulls WHERE column_name IN ('n_events', 'mean_value')
+    UNION ALL SELECT 'leak_if_unlagged', CAST(1 AS BIGINT), CAST(sum(nulls) AS BIGINT) FROM nulls WHERE column_name = 'sum_value'""",
 )
-def leaking(spark, sf_dir):
-    """The guard names the two same-hour outcomes planted in the history table's features."""
-    table = model_table.model_table(spark, sf_dir).columns
-    planted = {**model_table.FEATURES, "planted": ["sum_value", "mean_delay", "n_lag_1h"]}
-    present = {g: [c for c in cs if c in table] for g, cs in planted.items()}
-    return leaks(roles_table(spark, model_table.ROLES, present))
+def role_coverage(spark, sf_dir):
+    """Columns and nulls per role, over the measured columns of the history table."""
+    table = model_table.history_table(spark, sf_dir)
+    kinds = ["history_count", "history_value"]
+    roles = _history_roles(spark, table).where(
+        F.col("feature_group").isin(*kinds) | F.col("role").isin("target", "leak_if_unlagged")
+    )
+    return (
+        null_counts(table)
+        .join(roles, on="column_name")
+        .groupBy("role")
+        .agg(F.count("*").alias("columns"), F.sum("nulls").alias("nulls"))
+    )
 
 
-@query("no_leaks", "SELECT 'x' AS column_name WHERE false")
-def clean(spark, sf_dir):
-    table = model_table.model_table(spark, sf_dir).columns
-    present = {g: [c for c in cs if c in table] for g, cs in model_table.FEATURES.items()}
-    return leaks(roles_table(spark, model_table.ROLES, present))
+@query(
+    "leaks",
+    f"WITH {HISTORY}, {HISTORY_NULLS} SELECT column_name, nulls FROM nulls WHERE column_name = 'sum_value'",
+)
+def leaking(spark, sf_dir):
+    """The guard finds the same-hour outcome planted among the features, with its nulls."""
+    table = model_table.history_table(spark, sf_dir)
+    found = leaks(_history_roles(spark, table, planted=["sum_value", "n_lag_1h"]))
+    return null_counts(table).join(found, on="column_name").select("column_name", "nulls")
 
 
 @query(
     "collected_features",
-    """SELECT * FROM (VALUES ('hour', 1), ('day_of_week', 1), ('is_weekend', 1), ('is_holiday', 1), ('is_holiday_adjacent', 1),
-      ('entity', 2), ('n_lag_1h', 3), ('n_lag_24h', 3), ('n_lag_168h', 3), ('n_same_hour_7d', 3)) t(column_name, group_position)""",
+    f"""WITH {HISTORY}, {HISTORY_NULLS} SELECT column_name, CASE WHEN column_name LIKE 'value%' THEN 1 ELSE 2 END AS group_position, nulls
+    FROM nulls WHERE column_name LIKE '%lag%' OR column_name LIKE '%same%'""",
 )
 def features(spark, sf_dir):
-    table = model_table.model_table(spark, sf_dir).columns
-    present = {g: [c for c in cs if c in table] for g, cs in model_table.FEATURES.items()}
-    roles = roles_table(spark, model_table.ROLES, present)
-    return collect_features(roles, ["temporal", "categorical", "history_count"]).drop("position")
+    """Features of two groups in their given order, with the nulls each has to resolve."""
+    table = model_table.history_table(spark, sf_dir)
+    wanted = collect_features(_history_roles(spark, table), ["history_value", "history_count"])
+    return null_counts(table).join(wanted, on="column_name").select(
+        "column_name", "group_position", "nulls"
+    )
 
 
 @query(

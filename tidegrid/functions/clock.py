@@ -16,7 +16,7 @@ MINUTES_PER_DAY = 1440
 def valid_hhmm(column: Column | str) -> Column:
     """True for a clock reading in [0, 2400] with a minute part below 60; never null."""
     col = as_column(column)
-    return col.isNotNull() & (col >= 0) & (col <= 2400) & (col % 100 < 60)
+    return F.coalesce(col.between(0, 2400) & (col % 100 < 60), F.lit(False))
 
 
 def midnight_to_zero(column: Column | str) -> Column:
@@ -30,16 +30,17 @@ def hhmm_hour(column: Column | str) -> Column:
 
 
 def hhmm_minutes(column: Column | str) -> Column:
-    """Minute of the day of an ``hhmm`` reading."""
+    """Minute of the day of an ``hhmm`` reading: each full hour is written 40 too high."""
     col = as_column(column)
-    return (F.floor(col / 100) * 60 + col % 100).cast("int")
+    return (col - F.floor(col / 100) * 40).cast("int")
 
 
-def to_hhmm(minute_of_day: Column | str, midnight: int = 0) -> Column:
-    """``hhmm`` of a minute of the day; ``midnight`` is how 00:00 is written."""
+def to_hhmm(minute_of_day: Column | str, midnight_last: bool = False) -> Column:
+    """``hhmm`` of a minute of the day; ``midnight_last`` writes 00:00 as 2400."""
     minute = as_column(minute_of_day)
-    code = (F.floor(minute / 60) * 100 + minute % 60).cast("int")
-    return F.when(code == 0, F.lit(midnight)).otherwise(code) if midnight else code
+    if midnight_last:
+        minute = (minute + (MINUTES_PER_DAY - 1)) % MINUTES_PER_DAY + 1
+    return (minute + F.floor(minute / 60) * 40).cast("int")
 
 
 def clock_key(
@@ -48,7 +49,8 @@ def clock_key(
     """Add ``{prefix}_hhmm``, ``{prefix}_date`` and ``{prefix}_hour`` of the arrival.
 
     Midnight is remapped first, on both readings, so that a 22:30 departure arriving at 2400
-    compares as 0 < 2230 and moves to the next day.
+    compares as 0 < 2230 and moves to the next day. Each reading appears once per derived
+    column, which keeps the predicates Spark pushes through this projection short.
     """
     arr = midnight_to_zero(arrival)
     dep = midnight_to_zero(departure)
@@ -56,7 +58,7 @@ def clock_key(
     return df.select(
         "*",
         arr.alias(f"{prefix}_hhmm"),
-        F.when(arr < dep, F.date_add(day, 1)).otherwise(day).alias(f"{prefix}_date"),
+        F.date_add(day, F.coalesce((arr < dep).cast("int"), F.lit(0))).alias(f"{prefix}_date"),
         hhmm_hour(arr).alias(f"{prefix}_hour"),
     )
 

@@ -23,6 +23,30 @@ def aggregate_by(
     return df.groupBy(*keys).agg(*[m.alias(prefix + name) for name, m in measures.items()])
 
 
+def stack_keys(
+    df: DataFrame,
+    keyed: Mapping[str, tuple[Mapping[str, Column], Column]],
+    carry: Sequence[str],
+    kind: str = "kind",
+) -> DataFrame:
+    """A row per kind of key it qualifies for: ``(carry..., kind, key columns...)``.
+
+    ``keyed`` maps a kind to its key columns and the condition for taking part. Aggregating the
+    result with masks on ``kind`` builds several series that share rows but not keys from one
+    scan and one shuffle; only partial aggregates of the stacked rows are shuffled.
+    """
+    rows = [
+        F.struct(
+            F.lit(name).alias(kind),
+            *[c.alias(k) for k, c in keys.items()],
+            keep.alias("_keep"),
+        )
+        for name, (keys, keep) in keyed.items()
+    ]
+    stacked = df.select(*carry, F.inline(F.array(*rows))).where(F.col("_keep"))
+    return stacked.drop("_keep")
+
+
 def count_by(df: DataFrame, keys: Sequence[str | Column]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count("*").alias("row_count"))
 

@@ -36,13 +36,18 @@ def column_listing(df: DataFrame) -> DataFrame:
     )
 
 
-def role_problems(df: DataFrame, roles: DataFrame) -> DataFrame:
-    """Columns without a role, roles without a column, and columns with two roles."""
+def role_problems(df: DataFrame, roles: DataFrame, shared: Sequence[str] = ("key",)) -> DataFrame:
+    """Columns without a role, roles without a column, and columns with two roles.
+
+    A key column may also be a feature (hour, entity); the ``shared`` roles are not counted
+    against a second one.
+    """
     present = column_listing(df).select("column_name")
     declared = roles.select("column_name", "role").distinct()
     undeclared = present.exceptAll(declared.select("column_name").distinct())
     absent = declared.select("column_name").distinct().exceptAll(present)
-    double = declared.groupBy("column_name").count().where("count > 1").select("column_name")
+    single = declared.where(~F.col("role").isin(list(shared)))
+    double = single.groupBy("column_name").count().where("count > 1").select("column_name")
     return (
         undeclared.select("column_name", F.lit("undeclared").alias("problem"))
         .unionByName(absent.select("column_name", F.lit("absent").alias("problem")))

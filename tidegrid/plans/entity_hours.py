@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegrid.functions.columns import flag_equals, flag_missing, masked, share, tally
+from tidegrid.functions.columns import flag_missing, masked, share, tally
 from tidegrid.operators.aggregate import aggregate_by
 from tidegrid.operators.grid import densify, hour_grid
 from tidegrid.plans import study
@@ -48,21 +50,16 @@ def full_measures() -> dict[str, Column]:
 FULL_ZERO = ["n_events", "n_passenger_known", "n_code_known", "n_card", "sum_fare", "sum_total", "sum_tip"]
 
 
-def entity_hours(spark: SparkSession, sf_dir: str, full: bool = False) -> DataFrame:
-    """One row per ``(date, hour, entity)`` of the window, empty hours included."""
+def entity_hours(
+    spark: SparkSession, sf_dir: str, full: bool = False, extra: Mapping[str, Column] | None = None
+) -> DataFrame:
+    """One row per ``(date, hour, entity)`` of the window, empty hours included.
+
+    ``extra`` measures ride on the same aggregate; they stay null in an empty hour.
+    """
     trips = study.trips(spark, sf_dir)
     grid = hour_grid(spark, study.START, study.END, study.entities(spark))
-    measures = full_measures() if full else core_measures()
+    measures = {**(full_measures() if full else core_measures()), **(extra or {})}
     return densify(
         aggregate_by(trips, study.KEY, measures), grid, study.KEY, FULL_ZERO if full else SUMS
     )
-
-
-def flagged(df: DataFrame) -> DataFrame:
-    """Flags kept on retained rows whose metadata was not recorded."""
-    return df.select(
-        "*",
-        flag_missing("rate_code", [study.CODE_UNKNOWN]).alias("rate_code_missing"),
-        flag_missing("passengers").alias("passengers_missing"),
-        flag_equals("rate_code", study.CODE_FLAT).alias("flat"),
-    )

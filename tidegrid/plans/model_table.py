@@ -95,8 +95,8 @@ def history_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 def model_table(spark: SparkSession, sf_dir: str, checked: bool = False) -> DataFrame:
     """The full table. ``checked`` runs the uniqueness check before every join.
 
-    Every input already holds one row per grid key, so the joins meet on the grid key, and all
-    one-hour lags share the window of the history features.
+    Trips are read once for the targets and the site readings together, legs once for both
+    arrival series; context is a slice of the series. Every input holds one row per grid key.
     """
 
     def join(left, right, on, label):
@@ -104,12 +104,10 @@ def model_table(spark: SparkSession, sf_dir: str, checked: bool = False) -> Data
             return checked_left_join(left, right, on, label)
         return left.join(right, on=on, how="left")
 
+    hours = sites.resolve(sites.fill(entity_hours(spark, sf_dir, extra=sites.measures())))
     series = clocked.scheduled_realised(spark, sf_dir)
-    context = clocked.context_hours(spark, sf_dir)
-    site = sites.resolved(spark, sf_dir)
-    table = join(entity_hours(spark, sf_dir), series, study.KEY, "arrivals")
-    table = join(table, context, ["date", "hour"], "context")
-    table = join(table, site, study.KEY, "sites")
+    table = join(hours, series, study.KEY, "arrivals")
+    table = join(table, clocked.context_of(series), ["date", "hour"], "context")
     table = with_holidays(with_calendar(table), study.holidays(spark))
     table = lag_outcomes(with_history(table), [*REALISED, *CONTEXT_REALISED], ["entity"])
     return table.select("*", split_by_date("date", study.CUT).alias("split"))

@@ -5,43 +5,41 @@ A reading is the mean value of the events with a low code, so many hours have no
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidegrid.operators.gaps import carry_forward, resolve_with_source, with_conditions
-from tidegrid.operators.grid import densify, hour_grid
 from tidegrid.operators.joins import peer_mean
-from tidegrid.plans import study
+from tidegrid.plans.entity_hours import entity_hours
 
 SMOOTH_HOURS, EVENT_HOURS = 3, 1
 FALLBACK_SITES = ("click", "signup", "view")
 COLD_BELOW = 90.0
 
 
-def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Complete site grid with ``temp`` and ``rain``, null where nothing was observed."""
-    observed = study.trips(spark, sf_dir).groupBy(*study.KEY).agg(
-        F.avg(F.when(F.col("code") < 20, F.col("fare"))).alias("temp"),
-        F.avg(F.when(F.col("code") >= 90, F.greatest(F.col("fare") - 50.0, F.lit(0.0)))).alias("rain"),
-    )
-    grid = hour_grid(spark, study.START, study.END, study.entities(spark))
-    return densify(observed, grid, study.KEY, [])
+def measures() -> dict[str, Column]:
+    """Hourly readings as aggregates of the trips; null where nothing was observed."""
+    return {
+        "temp": F.avg(F.when(F.col("code") < 20, F.col("fare"))),
+        "rain": F.avg(F.when(F.col("code") >= 90, F.greatest(F.col("fare") - 50.0, F.lit(0.0)))),
+    }
 
 
 def filled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The complete grid with readings carried forward within their limits."""
+    return fill(entity_hours(spark, sf_dir, extra=measures()).drop("n_events", "sum_value", "mean_value"))
+
+
+def fill(grid: DataFrame) -> DataFrame:
     return carry_forward(
-        readings(spark, sf_dir),
-        {"temp": SMOOTH_HOURS, "rain": EVENT_HOURS},
-        ["entity"],
-        ["date", "hour"],
+        grid, {"temp": SMOOTH_HOURS, "rain": EVENT_HOURS}, ["entity"], ["date", "hour"]
     )
 
 
-def resolved(spark: SparkSession, sf_dir: str) -> DataFrame:
+def resolve(filled_grid: DataFrame) -> DataFrame:
     """Rain from the site, its peers or an assumed zero, with conditions derived from it."""
-    base = filled(spark, sf_dir)
     peers = peer_mean(
-        base, ["date", "hour"], "rain", F.col("entity").isin(*FALLBACK_SITES), "rain_peers"
+        filled_grid, ["date", "hour"], "rain", F.col("entity").isin(*FALLBACK_SITES), "rain_peers"
     )
     known = resolve_with_source(peers, "rain", "rain_peers", 0.0, carried="rain_imputed")
     wet = F.col("rain") > 0
@@ -49,3 +47,7 @@ def resolved(spark: SparkSession, sf_dir: str) -> DataFrame:
         known.drop("rain_peers", "rain_peers_reporting"),
         {"is_wet": wet, "is_freezing": wet & (F.col("temp") <= COLD_BELOW)},
     )
+
+
+def resolved(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resolve(filled(spark, sf_dir))

@@ -100,13 +100,13 @@ def legs(spark: SparkSession, sf_dir: str) -> DataFrame:
         "event_id",
         "entity",
         "leg_date",
-        to_hhmm("dep_minute", midnight=2400).alias("dep_hhmm"),
+        to_hhmm("dep_minute", midnight_last=True).alias("dep_hhmm"),
         F.when(
-            F.col("code") != 50, to_hhmm((F.col("dep_minute") + F.col("block")) % 1440, midnight=2400)
+            F.col("code") != 50, to_hhmm((F.col("dep_minute") + F.col("block")) % 1440, midnight_last=True)
         ).alias("arr_hhmm"),
         F.when(
             ~cancelled,
-            to_hhmm((F.col("dep_minute") + F.col("block") + late) % 1440, midnight=2400),
+            to_hhmm((F.col("dep_minute") + F.col("block") + late) % 1440, midnight_last=True),
         ).alias("act_hhmm"),
         F.when(~cancelled & ~diverted, late.cast("double")).alias("delay"),
         cancelled.cast("double").alias("cancelled"),
