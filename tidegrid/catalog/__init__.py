@@ -12,6 +12,8 @@ from tidegrid.catalog import (  # noqa: F401  (imported to register)
     gap_queries,
     history_queries,
     contract_queries,
+    profile_queries,
+    compare_queries,
 )
 
 __all__ = ["ORACLES", "QUERIES"]

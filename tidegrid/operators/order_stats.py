@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 # over the whole range of a double.
 _BUCKETS_PER_LOG_UNIT = 256
 _LOG_SHIFT = 200_000
+_LARGEST_LOG = 710.0
 _SUB_BUCKETS = 1024
 
 
@@ -25,7 +26,7 @@ def value_counts(
     by: Sequence[str] = (),
     segments: Mapping[str, Column] | None = None,
 ) -> DataFrame:
-    """Rows per distinct value: ``(by..., [segment,] metric, value, n)``, nulls left out.
+    """Rows per distinct value: ``(by..., [segment,] metric, value, n)``, nulls and NaN left out.
 
     Segments are masks counted beside each other, so a row is read once however many segments
     hold it, and a value carried by a third of the rows is one row per map task.
@@ -36,12 +37,13 @@ def value_counts(
             for name, column in metrics.items()
         ]
     )
+    present = F.col("value").isNotNull() & ~F.isnan("value")
     if segments is None:
-        flat = df.select(*by, F.inline(pairs)).where(F.col("value").isNotNull())
+        flat = df.select(*by, F.inline(pairs)).where(present)
         return flat.groupBy(*by, "metric", "value").agg(F.count("*").alias("n"))
     names = list(segments)
     masks = [F.coalesce(segments[s], F.lit(False)).alias(f"_in_{i}") for i, s in enumerate(names)]
-    flat = df.select(*by, *masks, F.inline(pairs)).where(F.col("value").isNotNull())
+    flat = df.select(*by, *masks, F.inline(pairs)).where(present)
     wide = flat.groupBy(*by, "metric", "value").agg(
         *[F.count(F.when(F.col(f"_in_{i}"), 1)).alias(s) for i, s in enumerate(names)]
     )
@@ -50,8 +52,11 @@ def value_counts(
 
 def _bucket(value: Column) -> Column:
     """Order-preserving bucket: the logarithm is monotone, so larger values never go lower."""
-    magnitude = (F.floor(F.ln(F.abs(value)) * _BUCKETS_PER_LOG_UNIT) + _LOG_SHIFT).cast("long")
-    return F.when(value > 0, magnitude).when(value < 0, -magnitude).otherwise(F.lit(0).cast("long"))
+    log = F.least(F.ln(F.abs(value)), F.lit(_LARGEST_LOG))
+    magnitude = (F.floor(log * _BUCKETS_PER_LOG_UNIT) + _LOG_SHIFT).cast("long")
+    signed = F.when(value > 0, magnitude).when(value < 0, -magnitude)
+    # Never null, so no derived filter on it slips under the shared aggregate and splits it.
+    return F.coalesce(signed, F.lit(0).cast("long"))
 
 
 def _running(order: str, by: Sequence[str]) -> W:
@@ -144,6 +149,9 @@ def exact_quantiles(
         .where((F.col("_w.rank") > F.col("_before")) & (F.col("_w.rank") <= F.col("_upto")))
     )
     span = F.col("_max") - F.col("_min")
+    sub_bucket = F.when(
+        span > 0, F.floor((F.col("value") - F.col("_min")) / span * (_SUB_BUCKETS - 1))
+    )
     buckets = hits0.groupBy(*keys, "_b").agg(
         F.first("_min").alias("_min"),
         F.first("_max").alias("_max"),
@@ -157,10 +165,7 @@ def exact_quantiles(
         "n",
         "_before",
         "_ws",
-        F.when(span > 0, F.floor((F.col("value") - F.col("_min")) / span * (_SUB_BUCKETS - 1)))
-        .otherwise(F.lit(0))
-        .cast("int")
-        .alias("_s"),
+        F.coalesce(sub_bucket.cast("int"), F.lit(0)).alias("_s"),
     )
     level1 = narrowed.groupBy(*keys, "_b", "_s").agg(
         F.sum("n").alias("_m"), F.first("_before").alias("_before"), F.first("_ws").alias("_ws")
