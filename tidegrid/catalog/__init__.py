@@ -14,6 +14,7 @@ from tidegrid.catalog import (  # noqa: F401  (imported to register)
     contract_queries,
     profile_queries,
     compare_queries,
+    evaluate_queries,
 )
 
 __all__ = ["ORACLES", "QUERIES"]
