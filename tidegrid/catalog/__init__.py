@@ -15,6 +15,7 @@ from tidegrid.catalog import (  # noqa: F401  (imported to register)
     profile_queries,
     compare_queries,
     evaluate_queries,
+    model_queries,
 )
 
 __all__ = ["ORACLES", "QUERIES"]

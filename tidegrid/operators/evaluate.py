@@ -6,12 +6,13 @@ from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidegrid.functions.columns import first_label, tally
 from tidegrid.operators.history import hourly_window
 from tidegrid.operators.joins import period_compare
-from tidegrid.operators.profile import quantile_bins, spearman
+from tidegrid.operators.profile import quantile_bins
 from tidegrid.operators.reshape import arg_extreme, entity_columns, top_per_group
 
 
@@ -245,14 +246,23 @@ def bias_shape(
     A rank trend beyond the threshold is attenuation; little scatter against the overall bias
     is a level shift; anything else is concentrated, with the bin where it peaks.
     """
-    one = profile.select("*", F.lit("all").alias("_all"))
-    trend = spearman(one, "mean_error", "mean_predicted", ["_all"]).select("spearman").scalar()
-    row = profile.agg(
+    # One row per bin, so this window never holds more rows than there are bins.
+    bins = W.partitionBy(F.lit(1))
+
+    def average_rank(column: str) -> Column:
+        ties = W.partitionBy(column)
+        return F.rank().over(bins.orderBy(column)) + (F.count("*").over(ties) - 1) / F.lit(2.0)
+
+    ranked = profile.select(
+        "*", average_rank("mean_error").alias("_re"), average_rank("mean_predicted").alias("_rp")
+    )
+    row = ranked.agg(
         F.stddev_samp("mean_error").alias("bin_scatter"),
         F.min_by("bin", F.struct(-F.abs("mean_error"), "bin")).alias("peak_bin"),
         F.min_by("mean_error", "bin").alias("quietest_error"),
         F.max_by("mean_error", "bin").alias("busiest_error"),
-    ).select("*", trend.alias("trend"), overall_bias.alias("mean_bias"), level_change.alias("level_change_pct"))
+        F.corr("_re", "_rp").alias("trend"),
+    ).select("*", overall_bias.alias("mean_bias"), level_change.alias("level_change_pct"))
     shape = first_label(
         [
             ("attenuation", F.abs("trend") > monotone_above),
