@@ -16,6 +16,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 from tidegrid import session  # noqa: E402
 from tidegrid.catalog import QUERIES  # noqa: E402
+from tidegrid.catalog.model_queries import forget_fits  # noqa: E402
 
 HEADLINE = (
     "entity_hour_grid",
@@ -49,7 +50,7 @@ HEADLINE = (
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    runs = int(os.environ.get("BENCH_RUNS", "2"))
+    runs = int(os.environ.get("BENCH_RUNS", "3"))
     chosen = os.environ.get("BENCH_QUERIES")
     names = chosen.split(",") if chosen else HEADLINE
     spark = session(
@@ -66,6 +67,7 @@ def main() -> None:
     for name in names:
         best = None
         for _ in range(runs):
+            forget_fits()
             started = time.perf_counter()
             QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
             took = time.perf_counter() - started

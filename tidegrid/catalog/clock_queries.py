@@ -67,7 +67,7 @@ def clock_diagnostics(spark, sf_dir):
     block = clocked.block_minutes()
     counts = value_counts(legs, {"block": block})
     median = quantile_columns(
-        exact_quantiles(counts, ["metric"], [0.5]), ["metric"], {"median_block": 0.5}
+        exact_quantiles(counts, ["metric"], [0.5], fixed_groups=True), ["metric"], {"median_block": 0.5}
     ).select("median_block")
     return rounded(
         legs.agg(

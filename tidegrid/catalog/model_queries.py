@@ -68,6 +68,11 @@ SHORT_GRID = (
 _made: dict[tuple, object] = {}
 
 
+def forget_fits() -> None:
+    """Drop the shared fits, so that the next query pays for its own."""
+    _made.clear()
+
+
 def _once(spark, sf_dir, name, make):
     key = (spark.sparkContext.applicationId, sf_dir, name)
     if key not in _made:

@@ -29,7 +29,7 @@ class Fill:
 def train_medians(train: DataFrame, columns: Sequence[str]) -> DataFrame:
     """``(column_name, median)`` of the training rows, exact and interpolated."""
     counts = value_counts(train, {c: F.col(c) for c in columns})
-    medians = exact_quantiles(counts, ["metric"], [0.5], interpolate=True)
+    medians = exact_quantiles(counts, ["metric"], [0.5], interpolate=True, fixed_groups=True)
     return medians.select(F.col("metric").alias("column_name"), F.col("quantile").alias("median"))
 
 

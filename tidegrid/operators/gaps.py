@@ -113,6 +113,6 @@ def spread_check(
     )
     counts = value_counts(spread, {"spread": F.col("spread")})
     quantile = quantile_columns(
-        exact_quantiles(counts, ["metric"], [prob]), ["metric"], {"high_spread": prob}
+        exact_quantiles(counts, ["metric"], [prob], fixed_groups=True), ["metric"], {"high_spread": prob}
     )
     return summary.join(quantile, on="metric", how="left").drop("metric")

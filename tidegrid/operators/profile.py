@@ -81,7 +81,9 @@ def distribution_summary(
         )
     moments = _moments(df, segments, metrics, lambda x: {})
     counts = value_counts(df, metrics, segments=segments)
-    quantiles = exact_quantiles(counts, ["segment", "metric"], sorted(set(percentiles.values())))
+    quantiles = exact_quantiles(
+        counts, ["segment", "metric"], sorted(set(percentiles.values())), fixed_groups=True
+    )
     wide = quantile_columns(quantiles, ["segment", "metric"], percentiles)
     return moments.join(wide, on=["segment", "metric"], how="left")
 
@@ -112,15 +114,16 @@ def tukey_fences(
 ) -> DataFrame:
     """Upper fence and the rows beyond it, per segment and metric.
 
-    Quartiles and exceedances both come from the counts per distinct value.
+    Quartiles and exceedances both come from the counts per distinct value. The fences are one
+    row per listed segment and metric, so they are broadcast.
     """
     counts = value_counts(df, metrics, segments=segments)
     by = ["segment", "metric"]
     quartiles = quantile_columns(
-        exact_quantiles(counts, by, [0.25, 0.5, 0.75]), by, {"p25": 0.25, "p50": 0.5, "p75": 0.75}
+        exact_quantiles(counts, by, [0.25, 0.5, 0.75], fixed_groups=True), by, {"p25": 0.25, "p50": 0.5, "p75": 0.75}
     )
     fences = fence_bounds(quartiles, k)
-    beyond = counts.join(fences.select(*by, "upper_fence"), on=by).groupBy(*by).agg(
+    beyond = counts.join(F.broadcast(fences.select(*by, "upper_fence")), on=by).groupBy(*by).agg(
         F.sum("n").alias("n"),
         F.sum(F.when(F.col("value") > F.col("upper_fence"), F.col("n")).otherwise(0)).alias(
             "n_above_fence"
@@ -135,7 +138,7 @@ def upper_fence(df: DataFrame, value: Column, k: float = 1.5) -> Column:
     """The fence of one metric as a scalar subquery, usable in a filter on the same table."""
     counts = value_counts(df, {"value": value})
     quartiles = quantile_columns(
-        exact_quantiles(counts, ["metric"], [0.25, 0.75]), ["metric"], {"p25": 0.25, "p75": 0.75}
+        exact_quantiles(counts, ["metric"], [0.25, 0.75], fixed_groups=True), ["metric"], {"p25": 0.25, "p75": 0.75}
     )
     return fence_bounds(quartiles, k).select("upper_fence").scalar()
 
@@ -311,7 +314,7 @@ def quantile_bins(df: DataFrame, value: str, bins: int, name: str = "bin") -> Da
     """
     probs = [round(i / bins, 7) for i in range(bins + 1)]
     counts = value_counts(df, {"v": F.col(value)})
-    edges = exact_quantiles(counts, ["metric"], probs, interpolate=True)
+    edges = exact_quantiles(counts, ["metric"], probs, interpolate=True, fixed_groups=True)
     inner = edges.agg(F.array_sort(F.collect_set("quantile"))).scalar()
     return (
         df.select("*", inner.alias("_edges"))

@@ -7,7 +7,7 @@ the flags. Everything is row-level projection over a whole table; nothing is sam
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidegrid.functions.clock import to_hhmm
@@ -50,6 +50,16 @@ def holidays(spark: SparkSession) -> DataFrame:
     return rows.select(F.to_date("day").alias("date"), "holiday_name", "holiday_kind")
 
 
+def parsed_once(df: DataFrame, *columns: str, **computed: Column) -> DataFrame:
+    """Keep columns and add computed ones as columns of their own.
+
+    ``inline`` of one struct is a generator, which Spark neither merges into later projections
+    nor pushes predicates through, so a parse is done once per row and not once per use.
+    """
+    row = F.struct(*[c.alias(name) for name, c in computed.items()])
+    return df.select(*columns, F.inline(F.array(row)))
+
+
 def in_window(ts: str = "ts"):
     return between_half_open(
         ts, F.lit(START).cast("timestamp_ntz"), F.lit(END).cast("timestamp_ntz")
@@ -58,17 +68,18 @@ def in_window(ts: str = "ts"):
 
 def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events of the window as trips, with nulls where a field was not recorded."""
-    code = F.get_json_object("props", "$.k").cast("int")
     events = table(spark, sf_dir, "events").where(in_window())
-    return events.select(
+    read = parsed_once(
+        events.select("event_id", "user_id", "ts", "event_type", "value", "props"),
         "event_id",
         "user_id",
-        F.to_date("ts").alias("date"),
-        F.hour("ts").alias("hour"),
-        F.col("event_type").alias("entity"),
-        F.col("value").alias("fare"),
-        code.alias("code"),
-    ).select(
+        date=F.to_date("ts"),
+        hour=F.hour("ts"),
+        entity=F.col("event_type"),
+        fare=F.col("value"),
+        code=F.get_json_object("props", "$.k").cast("int"),
+    )
+    return read.select(
         "*",
         F.nullif(F.col("code") % 7, F.lit(0)).alias("passengers"),
         F.nullif(F.col("code") % 10, F.lit(9)).alias("rate_code"),
@@ -83,17 +94,16 @@ def legs(spark: SparkSession, sf_dir: str) -> DataFrame:
     Midnight is written 2400, as such feeds do. Some scheduled clocks are missing, some legs
     are cancelled (no actual clock) or diverted (no delay).
     """
-    code = F.get_json_object("props", "$.k").cast("int")
-    minute = F.hour("ts") * 60 + F.minute("ts")
     late = F.greatest(F.col("code") - 80, F.lit(0))
-    base = table(spark, sf_dir, "events").select(
+    base = parsed_once(
+        table(spark, sf_dir, "events"),
         "event_id",
-        F.col("event_type").alias("entity"),
-        F.to_date("ts").alias("leg_date"),
-        minute.alias("dep_minute"),
-        F.floor("value").cast("int").alias("block"),
-        (F.col("value") * 2.0).alias("distance"),
-        code.alias("code"),
+        entity=F.col("event_type"),
+        leg_date=F.to_date("ts"),
+        dep_minute=F.hour("ts") * 60 + F.minute("ts"),
+        block=F.floor("value").cast("int"),
+        distance=F.col("value") * 2.0,
+        code=F.get_json_object("props", "$.k").cast("int"),
     )
     cancelled, diverted = F.col("code") < 3, F.col("code") == 99
     return base.select(
