@@ -15,6 +15,7 @@ from tidegrid.operators.joins import (
     peer_mean,
     period_compare,
     rollup_to_dim,
+    spread_context,
     verify_lag,
 )
 from tidegrid.plans import study
@@ -132,6 +133,22 @@ def peers(spark, sf_dir):
     return rounded(peer_mean(hours, ["date", "hour"], "mean_value", some, "peers"))
 
 
+@query(
+    "spread_context",
+    f"""WITH {HOURS} SELECT h.date, h.hour, h.entity, c.n_events AS ctx_n_events, round(c.mean_value, 6) AS ctx_mean_value
+    FROM hours h LEFT JOIN hours c ON c.date = h.date AND c.hour = h.hour AND c.entity = 'error'""",
+)
+def spread(spark, sf_dir):
+    out = spread_context(
+        entity_hours(spark, sf_dir),
+        ["date", "hour"],
+        F.col("entity") == "error",
+        ["n_events", "mean_value"],
+        "ctx_",
+    )
+    return rounded(out.select(*study.KEY, "ctx_n_events", "ctx_mean_value"))
+
+
 @query(
     "lag_verified",
     f"""WITH {HOURS}, l AS (SELECT *, lag(mean_value, 168) OVER (PARTITION BY entity ORDER BY date, hour) AS lagged FROM hours)

@@ -32,9 +32,9 @@ def with_calendar(df: DataFrame, date: str = "date", hour: str = "hour") -> Data
 def with_holidays(df: DataFrame, holidays: DataFrame, date: str = "date") -> DataFrame:
     """Join ``(date, holiday_name, holiday_kind)`` and turn the kind into null-safe flags.
 
-    A holiday table is a few literal rows; Spark broadcasts it on its known size.
+    A holiday table holds one row per date at most, so the calendar bounds what is broadcast.
     """
-    joined = df.join(holidays, on=date, how="left")
+    joined = df.join(F.broadcast(holidays), on=date, how="left")
     return joined.select(
         *df.columns,
         "holiday_name",

@@ -143,17 +143,17 @@ def unseen_periods(train: DataFrame, valid: DataFrame, period: str) -> DataFrame
     )
 
 
-def _hash_rank(df: DataFrame, keys: Sequence[str], seed: int, name: str, spread: int = 1024) -> DataFrame:
+def _hash_rank(df: DataFrame, keys: Sequence[str], seed: int, name: str, bits: int = 14) -> DataFrame:
     """Number rows 1..n in the order of a seeded hash of their key.
 
-    The hash splits rows into even ranges; a range is numbered on its own and shifted by the
-    total of the ranges before it, so nothing is sorted in one place.
+    The leading ``bits`` of the hash split rows into even ranges; a range is numbered on its own
+    and shifted by the total of the ranges before it, so nothing is sorted in one place.
     """
     hashed = df.select("*", F.xxhash64(F.lit(seed), *[F.col(k) for k in keys]).alias("_h"))
-    part = F.shiftrightunsigned("_h", 54).cast("int")
+    part = F.shiftrightunsigned("_h", 64 - bits).cast("int")
     ranged = hashed.select("*", part.alias("_part"))
     sizes = ranged.groupBy("_part").agg(F.count("*").alias("_size"))
-    # At most 1,024 rows, whatever the size of the table.
+    # One row per range, whatever the size of the table.
     offsets = sizes.select(
         "_part",
         (

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 
@@ -112,14 +113,33 @@ def verify_lag(
 def peer_mean(
     df: DataFrame, keys: Sequence[str], value: str, peers: Column, name: str
 ) -> DataFrame:
-    """Join back the mean of a value over the reporting peers of the same key.
+    """Add the mean of a value over the reporting peers of the same key.
 
-    The mean is aggregated and joined rather than windowed: the aggregate combines map-side.
+    Meant for grid tables, where a key (an hour) holds one row per site: the window partition
+    is the list of sites, and the table is computed once instead of twice as a join-back would.
     """
-    means = df.where(peers).groupBy(*keys).agg(
-        F.avg(value).alias(name), F.count(value).alias(f"{name}_reporting")
+    hour = W.partitionBy(*keys)
+    reported = F.when(peers, F.col(value))
+    return df.select(
+        "*",
+        F.avg(reported).over(hour).alias(name),
+        F.count(reported).over(hour).alias(f"{name}_reporting"),
+    )
+
+
+def spread_context(
+    df: DataFrame, keys: Sequence[str], source: Column, columns: Sequence[str], prefix: str
+) -> DataFrame:
+    """Give every row of a key the columns of the key's one context row, prefixed.
+
+    The fan-out join for a context that is itself a row of the grid, as a window over the sites
+    of the hour, so that the context is not computed a second time.
+    """
+    hour = W.partitionBy(*keys)
+    return df.select(
+        "*",
+        *[F.max(F.when(source, F.col(c))).over(hour).alias(prefix + c) for c in columns],
     )
-    return df.join(means, on=list(keys), how="left")
 
 
 def period_compare(

@@ -57,7 +57,7 @@ def entity_hours(
 
     ``extra`` measures ride on the same aggregate; they stay null in an empty hour.
     """
-    trips = study.trips(spark, sf_dir)
+    trips = study.trips(spark, sf_dir, coded=full or bool(extra))
     grid = hour_grid(spark, study.START, study.END, study.entities(spark))
     measures = {**(full_measures() if full else core_measures()), **(extra or {})}
     return densify(

@@ -96,7 +96,7 @@ def model_table(spark: SparkSession, sf_dir: str, checked: bool = False) -> Data
     """The full table. ``checked`` runs the uniqueness check before every join.
 
     Trips are read once for the targets and the site readings together, legs once for both
-    arrival series; context is a slice of the series. Every input holds one row per grid key.
+    arrival series; peers and context are windows over the sites of an hour.
     """
 
     def join(left, right, on, label):
@@ -106,8 +106,7 @@ def model_table(spark: SparkSession, sf_dir: str, checked: bool = False) -> Data
 
     hours = sites.resolve(sites.fill(entity_hours(spark, sf_dir, extra=sites.measures())))
     series = clocked.scheduled_realised(spark, sf_dir)
-    table = join(hours, series, study.KEY, "arrivals")
-    table = join(table, clocked.context_of(series), ["date", "hour"], "context")
+    table = clocked.with_context(join(hours, series, study.KEY, "arrivals"))
     table = with_holidays(with_calendar(table), study.holidays(spark))
     table = lag_outcomes(with_history(table), [*REALISED, *CONTEXT_REALISED], ["entity"])
     return table.select("*", split_by_date("date", study.CUT).alias("split"))

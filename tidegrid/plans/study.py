@@ -66,20 +66,25 @@ def in_window(ts: str = "ts"):
     )
 
 
-def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events of the window as trips, with nulls where a field was not recorded."""
+def trips(spark: SparkSession, sf_dir: str, coded: bool = True) -> DataFrame:
+    """Events of the window as trips, with nulls where a field was not recorded.
+
+    Without the code, ``props`` is neither read nor parsed.
+    """
     events = table(spark, sf_dir, "events").where(in_window())
-    read = parsed_once(
-        events.select("event_id", "user_id", "ts", "event_type", "value", "props"),
+    plain = [
         "event_id",
         "user_id",
-        date=F.to_date("ts"),
-        hour=F.hour("ts"),
-        entity=F.col("event_type"),
-        fare=F.col("value"),
-        code=F.get_json_object("props", "$.k").cast("int"),
-    )
-    return read.select(
+        F.to_date("ts").alias("date"),
+        F.hour("ts").alias("hour"),
+        F.col("event_type").alias("entity"),
+        F.col("value").alias("fare"),
+    ]
+    if not coded:
+        return events.select(*plain)
+    names = ["event_id", "user_id", "date", "hour", "entity", "fare"]
+    code = F.get_json_object("props", "$.k").cast("int")
+    return parsed_once(events.select(*plain, "props"), *names, code=code).select(
         "*",
         F.nullif(F.col("code") % 7, F.lit(0)).alias("passengers"),
         F.nullif(F.col("code") % 10, F.lit(9)).alias("rate_code"),
@@ -106,21 +111,19 @@ def legs(spark: SparkSession, sf_dir: str) -> DataFrame:
         code=F.get_json_object("props", "$.k").cast("int"),
     )
     cancelled, diverted = F.col("code") < 3, F.col("code") == 99
-    return base.select(
+    arrival = (F.col("dep_minute") + F.col("block")) % 1440
+    actual = (F.col("dep_minute") + F.col("block") + late) % 1440
+    return parsed_once(
+        base,
         "event_id",
         "entity",
         "leg_date",
-        to_hhmm("dep_minute", midnight_last=True).alias("dep_hhmm"),
-        F.when(
-            F.col("code") != 50, to_hhmm((F.col("dep_minute") + F.col("block")) % 1440, midnight_last=True)
-        ).alias("arr_hhmm"),
-        F.when(
-            ~cancelled,
-            to_hhmm((F.col("dep_minute") + F.col("block") + late) % 1440, midnight_last=True),
-        ).alias("act_hhmm"),
-        F.when(~cancelled & ~diverted, late.cast("double")).alias("delay"),
-        cancelled.cast("double").alias("cancelled"),
-        F.when(F.col("code") != 98, diverted.cast("double")).alias("diverted"),
         "distance",
         "block",
+        dep_hhmm=to_hhmm("dep_minute", midnight_last=True),
+        arr_hhmm=F.when(F.col("code") != 50, to_hhmm(arrival, midnight_last=True)),
+        act_hhmm=F.when(~cancelled, to_hhmm(actual, midnight_last=True)),
+        delay=F.when(~cancelled & ~diverted, late.cast("double")),
+        cancelled=cancelled.cast("double"),
+        diverted=F.when(F.col("code") != 98, diverted.cast("double")),
     )
