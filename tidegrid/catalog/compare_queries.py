@@ -29,6 +29,7 @@ from tidegrid.operators.reshape import arg_extreme, entity_columns
 from tidegrid.plans import sites, study
 from tidegrid.plans.entity_hours import entity_hours
 from tidegrid.plans.model_table import history_table
+from tidegrid.sources.staging import stage
 
 # Purchases as the outcome, sign-ups as its driver, side by side on the hour grid.
 PAIRS = (
@@ -174,7 +175,8 @@ marked AS (SELECT h.*, d.date AS event_date FROM hist h, day d WHERE h.date >= D
 
 
 def _later(spark, sf_dir):
-    table = history_table(spark, sf_dir)
+    """The grid-sized table is staged, as the day and the comparison both read it."""
+    table = stage(history_table(spark, sf_dir))
     return table.where(F.col("date") >= F.lit("2024-01-08").cast("date"))
 
 
@@ -262,9 +264,8 @@ def shares(spark, sf_dir):
 )
 def unknown_share(spark, sf_dir):
     by_zone = group_share(_flows(spark, sf_dir), "trips", ["zone"], [])
-    return rounded(
-        by_zone.where(F.col("zone").isin(23, 24)).agg(F.sum("share_pct").alias("unknown_share_pct"))
-    )
+    unknown = F.when(F.col("zone").isin(23, 24), F.col("share_pct"))
+    return rounded(by_zone.agg(F.sum(unknown).alias("unknown_share_pct")))
 
 
 @query(

@@ -20,6 +20,7 @@ from tidegrid.operators.joins import (
 )
 from tidegrid.plans import study
 from tidegrid.plans.entity_hours import entity_hours
+from tidegrid.sources.staging import stage
 
 
 def _orders(spark, sf_dir):
@@ -78,7 +79,7 @@ def duplicates(spark, sf_dir):
     FROM hours h LEFT JOIN ctx ON ctx.date = h.date AND ctx.hour = h.hour""",
 )
 def fanout(spark, sf_dir):
-    hours = entity_hours(spark, sf_dir)
+    hours = stage(entity_hours(spark, sf_dir))
     city = hours.groupBy("date", "hour").agg(
         F.sum("n_events").alias("city_events"), F.sum("sum_value").alias("city_value")
     )
@@ -173,7 +174,7 @@ def lag_verified(spark, sf_dir):
       CAST(nb AS BIGINT) AS test_total, round(b - a, 6) AS change, coalesce(na >= 30 AND nb >= 30, false) AS supported FROM c""",
 )
 def period_cells(spark, sf_dir):
-    hours = entity_hours(spark, sf_dir)
+    hours = stage(entity_hours(spark, sf_dir))
     cut = F.lit(study.CUT).cast("date")
 
     def cells(df):

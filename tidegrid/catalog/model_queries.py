@@ -140,7 +140,7 @@ def scales(spark, sf_dir):
     SELECT date, hour, entity, round((n_events - a) / b, 6) AS n_events, round((sum_value - c) / d, 6) AS sum_value FROM hist, s""",
 )
 def scaled(spark, sf_dir):
-    hours = entity_hours(spark, sf_dir).drop("mean_value")
+    hours = stage(entity_hours(spark, sf_dir).drop("mean_value"))
     train = hours.where(F.col("date") < F.lit("2024-01-22").cast("date"))
     return rounded(apply_scale(hours, fit_scale(train, ["n_events", "sum_value"])))
 

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -126,13 +128,17 @@ def regroup_means(flows: DataFrame, by: Sequence[str], sums: Sequence[str]) -> D
 def group_share(df: DataFrame, amount: str, by: Sequence[str], group: Sequence[str], name: str = "share_pct") -> DataFrame:
     """Share of each row of an aggregate within its group, in percent.
 
-    Group totals are aggregated and joined back on the group key (broadcast by size), so no
-    group is ever gathered in one window partition.
+    Group totals are aggregated and joined back, so no group is ever gathered in one window
+    partition. The null-safe join gives rows without a group their share too, and leaves both
+    sides reading one aggregate.
     """
     cells = df.groupBy(*by).agg(F.sum(amount).alias(amount))
     if group:
-        totals = cells.groupBy(*group).agg(F.sum(amount).alias("_total"))
-        cells = cells.join(totals, on=list(group), how="left")
+        totals = cells.groupBy(*[F.col(g).alias(f"_of_{g}") for g in group]).agg(
+            F.sum(amount).alias("_total")
+        )
+        same = [F.col(g).eqNullSafe(F.col(f"_of_{g}")) for g in group]
+        cells = cells.join(totals, on=reduce(and_, same), how="left")
     else:
         cells = cells.select("*", cells.agg(F.sum(amount)).scalar().alias("_total"))
     return cells.select(

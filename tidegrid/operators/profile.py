@@ -233,12 +233,16 @@ def mass_point(spectrum: DataFrame, point: float, segments: Sequence[str], name:
 def binned_spectrum(
     spectrum: DataFrame, width: float, upper: float, columns: Sequence[str], name: str = "value"
 ) -> DataFrame:
-    """Spectrum in fixed-width bins up to a limit, as a share of each column's full total."""
+    """Spectrum in fixed-width bins up to a limit, as a share of each column's full total.
+
+    The limit is a mask and not a filter, so the bins and the totals share one spectrum.
+    """
     totals = spectrum.agg(F.struct(*[F.sum(c).alias(c) for c in columns])).scalar()
+    shown = F.col(name) <= upper
     bins = (
-        spectrum.where(F.col(name) <= upper)
-        .groupBy(bin_floor(name, width).alias("bin"))
-        .agg(*[F.sum(c).alias(c) for c in columns])
+        spectrum.groupBy(bin_floor(name, width).alias("bin"))
+        .agg(tally(shown).alias("_shown"), *[F.sum(F.when(shown, F.col(c))).alias(c) for c in columns])
+        .where(F.col("_shown") > 0)
         .select("*", totals.alias("_t"))
     )
     return bins.select(
