@@ -16,11 +16,11 @@ from tidegrid.plans.entity_hours import entity_hours
 
 @query(
     "entity_hour_grid",
-    f"WITH {HOURS} SELECT date, hour, entity, n_events, round(sum_value, 6) AS sum_value, "
-    "round(mean_value, 6) AS mean_value FROM hours",
+    f"WITH {HOURS} SELECT date, hour, entity, n_events, round(sum_value, 8) AS sum_value, "
+    "round(mean_value, 8) AS mean_value FROM hours",
 )
 def entity_hour_grid(spark, sf_dir):
-    return rounded(entity_hours(spark, sf_dir))
+    return rounded(entity_hours(spark, sf_dir), 8)
 
 
 @query(
@@ -38,17 +38,17 @@ def entity_hour_grid(spark, sf_dir):
         avg(CASE WHEN code < 60 AND fare > 0 THEN tip / fare END) AS mean_tip_ratio
       FROM trips GROUP BY date, hour, entity)
     SELECT g.date, g.hour, g.entity, coalesce(n_events, 0) AS n_events,
-      round(coalesce(sum_fare, 0), 4) AS sum_fare, round(coalesce(sum_total, 0), 4) AS sum_total,
-      round(mean_fare, 4) AS mean_fare, round(median_fare, 4) AS median_fare, round(mean_total, 4) AS mean_total,
-      round(mean_users, 4) AS mean_users, round(mean_code, 4) AS mean_code,
-      coalesce(n_passenger_known, 0) AS n_passenger_known, round(mean_passengers, 4) AS mean_passengers,
-      coalesce(n_code_known, 0) AS n_code_known, round(share_flat, 4) AS share_flat,
-      round(share_flex, 4) AS share_flex, coalesce(n_card, 0) AS n_card,
-      round(coalesce(sum_tip, 0), 4) AS sum_tip, round(mean_tip_ratio, 4) AS mean_tip_ratio
+      round(coalesce(sum_fare, 0), 8) AS sum_fare, round(coalesce(sum_total, 0), 8) AS sum_total,
+      round(mean_fare, 8) AS mean_fare, round(median_fare, 8) AS median_fare, round(mean_total, 8) AS mean_total,
+      round(mean_users, 8) AS mean_users, round(mean_code, 8) AS mean_code,
+      coalesce(n_passenger_known, 0) AS n_passenger_known, round(mean_passengers, 8) AS mean_passengers,
+      coalesce(n_code_known, 0) AS n_code_known, round(share_flat, 8) AS share_flat,
+      round(share_flex, 8) AS share_flex, coalesce(n_card, 0) AS n_card,
+      round(coalesce(sum_tip, 0), 8) AS sum_tip, round(mean_tip_ratio, 8) AS mean_tip_ratio
     FROM grid g LEFT JOIN agg a ON a.date = g.date AND a.hour = g.hour AND a.entity = g.entity""",
 )
 def entity_hour_measures(spark, sf_dir):
-    return rounded(entity_hours(spark, sf_dir, full=True), 4)
+    return rounded(entity_hours(spark, sf_dir, full=True), 8)
 
 
 @query(

@@ -134,10 +134,10 @@ def fences(spark, sf_dir):
 @query(
     "extremes",
     """WITH q AS (SELECT quantile_disc(o_totalprice, 0.25) AS a, quantile_disc(o_totalprice, 0.75) AS b FROM orders),
-    x AS (SELECT o.* FROM orders o, q WHERE o_totalprice > b + 0.5::DOUBLE * (b - a)),
+    x AS (SELECT o.* FROM orders o, q WHERE o_totalprice > b + 0.25::DOUBLE * (b - a)),
     c AS (SELECT o_orderpriority, n_name, count(*) AS row_count, avg(o_totalprice) AS mean_price FROM x
           LEFT JOIN customer ON c_custkey = o_custkey LEFT JOIN nation ON n_nationkey = c_nationkey GROUP BY 1, 2)
-    SELECT o_orderpriority, n_name, row_count, round(mean_price, 4) AS mean_price,
+    SELECT o_orderpriority, n_name, row_count, round(mean_price, 8) AS mean_price,
       round(100.0::DOUBLE * row_count / sum(row_count) OVER (), 6) AS pct_of_extremes FROM c""",
 )
 def extremes(spark, sf_dir):
@@ -150,7 +150,7 @@ def extremes(spark, sf_dir):
     homes = study.table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey").join(
         nations, on="c_nationkey", how="left"
     )
-    fence = upper_fence(orders, F.col("o_totalprice"), k=0.5)
+    fence = upper_fence(orders, F.col("o_totalprice"), k=0.25)
     out = profile_extremes(
         orders,
         F.col("o_totalprice") > fence,
@@ -163,7 +163,7 @@ def extremes(spark, sf_dir):
         "o_orderpriority",
         "n_name",
         "row_count",
-        F.round("mean_price", 4).alias("mean_price"),
+        F.round("mean_price", 8).alias("mean_price"),
         F.round("pct_of_extremes", 6).alias("pct_of_extremes"),
     )
 

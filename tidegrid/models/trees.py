@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from tidegrid.operators.evaluate import error_metrics
 from tidegrid.sources.staging import ensure_checkpoint_dir
 
-# Six settings: learning rate, depth, rounds. Depths 4, 5 and 6 stand for 15, 31 and 63 leaves.
+# Six settings of learning rate, depth and rounds. Depths 4, 5 and 6 stand for 15, 31 and 63 leaves.
 TUNING_GRID = (
     {"stepSize": 0.05, "maxDepth": 4, "maxIter": 300},
     {"stepSize": 0.05, "maxDepth": 5, "maxIter": 300},

@@ -15,6 +15,7 @@ from tidegrid.operators.order_stats import (
     value_counts,
 )
 
+# The percentiles reported and their labels.
 PERCENTILES = {
     "p1": 0.01,
     "p5": 0.05,

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tidegrid.functions.calendar import split_by_date, with_calendar, with_holidays
 from tidegrid.operators.history import add_lags, add_trailing_means, history_flags, lag_outcomes
