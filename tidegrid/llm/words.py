@@ -79,7 +79,7 @@ class Words(NamedTuple):
         return np.concatenate(([0], np.cumsum(self.counts)))
 
 
-def slices(column: pa.Array | pa.ChunkedArray, most: int = SLICE_BYTES) -> Iterator[Texts]:
+def slices(column: pa.Array | pa.ChunkedArray, most: int = SLICE_BYTES, rows: int = 1 << 16) -> Iterator[Texts]:
     """Whole texts of a string or binary column, a few megabytes at a time; null reads as empty."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
@@ -95,7 +95,7 @@ def slices(column: pa.Array | pa.ChunkedArray, most: int = SLICE_BYTES) -> Itera
     at = 0
     while at < n:
         to = max(at + 1, int(np.searchsorted(offsets, offsets[at] + most, side="right")) - 1)
-        to = min(to, n)
+        to = min(to, n, at + rows)
         yield Texts(data[offsets[at] : offsets[to]], offsets[at : to + 1] - offsets[at], at)
         at = to
 
