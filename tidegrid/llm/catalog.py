@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidegrid.llm.jaccard_join import jaccard_components
 from tidegrid.llm.token_counts import count_tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,8 +21,14 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), "piece_bpe_32k.model", limit=4096)
 
 
+def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of the documents under 4-word-shingle Jaccard of 0.85."""
+    return jaccard_components(table(spark, sf_dir, "documents"), words=4, num=85, den=100)
+
+
 QUERIES: dict[str, Query] = {
     "op1_token_counts": op1_token_counts,
+    "op9_jaccard_join": op9_jaccard_join,
 }
 
 ORACLES: dict[str, str] = {}
