@@ -5,8 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidegrid.llm.jaccard_join import jaccard_components
+from tidegrid.llm.mixing import mixing_rates
+from tidegrid.llm.sharding import assign_shards
 from tidegrid.llm.token_counts import count_tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,6 +24,38 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), "piece_bpe_32k.model", limit=4096)
 
 
+def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document in one of 24 shards of near equal bytes."""
+    placed = assign_shards(table(spark, sf_dir, "documents"), 24)
+    return placed.select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
+    )
+
+
+#: Wanted shares of tokens by domain.
+TARGETS = {"good": 0.90, "poor": 0.05, "toxic": 0.05}
+
+
+def domains(labels: DataFrame) -> DataFrame:
+    """The domain that each label stands for: toxic first, else by quality."""
+    told = F.when(F.col("toxic") == 1, "toxic").when(F.col("quality") == 1, "good").when(F.col("quality") == 0, "poor")
+    return labels.select("doc_id", told.alias("domain"))
+
+
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Posterior and rate of every document for the target shares of tokens."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    rates = mixing_rates(docs, domains(labels), TARGETS)
+    names = sorted(TARGETS)
+    return rates.select(
+        "doc_id",
+        F.col("mix_copies").alias("n_rows"),
+        F.col("mix_tokens").alias("n_tokens"),
+        *[F.col("mix_p")[i].alias(f"p_{name}") for i, name in enumerate(names)],
+        F.col("mix_rate").alias("rate"),
+    )
+
+
 def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of the documents under 4-word-shingle Jaccard of 0.85."""
     return jaccard_components(table(spark, sf_dir, "documents"), words=4, num=85, den=100)
@@ -28,6 +63,8 @@ def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_token_counts": op1_token_counts,
+    "op5_sharding": op5_sharding,
+    "op6_mixing": op6_mixing,
     "op9_jaccard_join": op9_jaccard_join,
 }
 
