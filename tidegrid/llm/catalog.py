@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidegrid.llm.jaccard_join import jaccard_components
 from tidegrid.llm.mixing import mixing_rates
+from tidegrid.llm.quality_classifier import fit, remainder, score
 from tidegrid.llm.sharding import assign_shards
 from tidegrid.llm.token_counts import count_tokens
 
@@ -56,6 +57,15 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document; a fifth of the keys is never trained on."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    seen = labels.where(remainder(F.col("doc_id")) != 0).select("doc_id", F.col("quality").alias("label"))
+    odds = fit(docs.select("doc_id", "text"), seen)
+    marked = docs.select("doc_id", (remainder(F.col("doc_id")) == 0).alias("held_out"), "text")
+    return score(marked, odds, ["doc_id", "held_out"]).withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
+
+
 def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of the documents under 4-word-shingle Jaccard of 0.85."""
     return jaccard_components(table(spark, sf_dir, "documents"), words=4, num=85, den=100)
@@ -65,6 +75,7 @@ QUERIES: dict[str, Query] = {
     "op1_token_counts": op1_token_counts,
     "op5_sharding": op5_sharding,
     "op6_mixing": op6_mixing,
+    "op8_quality_classifier": op8_quality_classifier,
     "op9_jaccard_join": op9_jaccard_join,
 }
 
