@@ -7,8 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidegrid.llm.decontamination import contaminated
 from tidegrid.llm.jaccard_join import jaccard_components
 from tidegrid.llm.mixing import mixing_rates
+from tidegrid.llm.line_rules import line_rules
 from tidegrid.llm.quality_classifier import fit, remainder, score
 from tidegrid.llm.sharding import assign_shards
 from tidegrid.llm.token_counts import count_tokens
@@ -25,6 +27,11 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), "piece_bpe_32k.model", limit=4096)
 
 
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every pair of a document and a benchmark item that it gives away."""
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document in one of 24 shards of near equal bytes."""
     placed = assign_shards(table(spark, sf_dir, "documents"), 24)
@@ -57,6 +64,15 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base rules and the verdict of the cross-document line rule for every document."""
+    docs = table(spark, sf_dir, "documents")
+    return line_rules(docs, host="source").select(
+        "doc_id",
+        *["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "n_words_left"],
+    )
+
+
 def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality score of every document; a fifth of the keys is never trained on."""
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
@@ -73,8 +89,10 @@ def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_token_counts": op1_token_counts,
+    "op4_decontamination": op4_decontamination,
     "op5_sharding": op5_sharding,
     "op6_mixing": op6_mixing,
+    "op7_line_rules": op7_line_rules,
     "op8_quality_classifier": op8_quality_classifier,
     "op9_jaccard_join": op9_jaccard_join,
 }
