@@ -9,11 +9,14 @@ from pyspark.sql import functions as F
 
 from tidegrid.llm.decontamination import contaminated
 from tidegrid.llm.jaccard_join import jaccard_components
+from tidegrid.llm.main_text import extract
 from tidegrid.llm.mixing import mixing_rates
+from tidegrid.llm.license_scan import oracle, scan_licences
 from tidegrid.llm.line_rules import line_rules
 from tidegrid.llm.quality_classifier import fit, remainder, score
 from tidegrid.llm.sharding import assign_shards
 from tidegrid.llm.token_counts import count_tokens
+from tidegrid.llm.url_filter import Rule, judge_urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -27,6 +30,25 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), "piece_bpe_32k.model", limit=4096)
 
 
+URL_RULES = [
+    Rule("allow", "com/"),
+    Rule("block", "example.com/en/"),
+    Rule("allow", "www.example.com/en/"),
+    Rule("block", "net/es/"),
+    Rule("block", "net/fr/"),
+]
+
+
+def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict on every page's URL: by rule, else by the language models."""
+    return judge_urls(table(spark, sf_dir, "pages"), URL_RULES, ["page_id"])
+
+
+def op3_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return extract(table(spark, sf_dir, "pages"), ["page_id", "url"])
+
+
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every pair of a document and a benchmark item that it gives away."""
     return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -87,14 +109,22 @@ def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"), words=4, num=85, den=100)
 
 
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence sentences and licences of every document."""
+    return scan_licences(table(spark, sf_dir, "documents"), ["doc_id"])
+
+
 QUERIES: dict[str, Query] = {
     "op1_token_counts": op1_token_counts,
+    "op2_url_filter": op2_url_filter,
+    "op3_main_text": op3_main_text,
     "op4_decontamination": op4_decontamination,
     "op5_sharding": op5_sharding,
     "op6_mixing": op6_mixing,
     "op7_line_rules": op7_line_rules,
     "op8_quality_classifier": op8_quality_classifier,
     "op9_jaccard_join": op9_jaccard_join,
+    "op10_license_scan": op10_license_scan,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op10_license_scan": oracle()}
