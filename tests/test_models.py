@@ -153,6 +153,34 @@ def test_permuting_moves_a_block_together(spark):
     assert again.exceptAll(out).count() == 0
 
 
+def test_declared_features_stay_what_they_are_at_any_size(spark):
+    features = TreeFeatures(numeric=("few", "many"), categorical=("kind",))
+    for n in (60, 3000):
+        df = spark.range(n).select(
+            (F.col("id") % 3).alias("few"),
+            F.col("id").alias("many"),
+            F.concat(F.lit("k"), F.col("id") % 4).alias("kind"),
+            (F.col("id") % 4).cast("double").alias("y"),
+        )
+        model = fit_gbt(df, features, "y", {"maxDepth": 2, "maxIter": 2})
+        attributes = [s for s in model.stages if hasattr(s, "labelsArray")][0]
+        assert [list(labels) for labels in attributes.labelsArray] == [["k0", "k1", "k2", "k3"]]
+        vector = model.stages[1].transform(model.stages[0].transform(features.prepare(df)))
+        kinds = vector.schema["_features"].metadata["ml_attr"]["attrs"]
+        assert [a["name"] for a in kinds["nominal"]] == ["_i_kind"] and len(kinds["numeric"]) == 2
+    with pytest.raises(Exception, match="[Uu]nseen"):
+        predict_value(model, features, df.withColumn("kind", F.lit("new")), "p").collect()
+
+
+def test_trees_of_a_constant_target_predict_it(spark):
+    df = spark.range(50).select(F.col("id").alias("x"), F.lit(7.5).alias("y"))
+    features = TreeFeatures(numeric=("x",))
+    model = fit_gbt(df, features, "y", {"maxDepth": 2, "maxIter": 2})
+    assert {r["p"] for r in predict_value(model, features, df, "p").collect()} == {7.5}
+    flat = permutation_importance(df.withColumn("c", F.lit(1)), lambda d: predict_value(model, features, d, "prediction"), "y", ["x"], {"c": ["c"]})
+    assert flat.head()["rmse_increase"] == 0 and flat.head()["repeats"] == 5
+
+
 def test_trees_use_missingness_and_importance_ranks_it(spark):
     rng = np.random.default_rng(2)
     n = 400

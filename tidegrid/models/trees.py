@@ -6,13 +6,12 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import VectorAssembler, VectorIndexer
+from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tidegrid.operators.evaluate import error_metrics
 from tidegrid.sources.staging import ensure_checkpoint_dir
 
 # Six settings of learning rate, depth and rounds. Depths 4, 5 and 6 stand for 15, 31 and 63 leaves.
@@ -30,7 +29,11 @@ SEED = 42
 
 @dataclass(frozen=True)
 class TreeFeatures:
-    """Feature lists of a tree model; ``nullable`` columns get a 0/1 missing marker."""
+    """Feature lists of a tree model; ``nullable`` columns get a 0/1 missing marker.
+
+    Only ``categorical`` columns are split as sets, whatever the number of distinct values: their
+    levels are frozen in training and an unseen one is an error. All others stay ordered numbers.
+    """
 
     numeric: tuple[str, ...]
     booleans: tuple[str, ...] = ()
@@ -42,7 +45,7 @@ class TreeFeatures:
         return [
             *[f"_n_{c}" for c in self.numeric],
             *[f"_b_{c}" for c in self.booleans],
-            *self.categorical,
+            *[f"_i_{c}" for c in self.categorical],
             *[f"_m_{c}" for c in self.nullable],
         ]
 
@@ -59,13 +62,24 @@ class TreeFeatures:
             *[F.coalesce(F.col(c).cast("double"), below).alias(f"_n_{c}") for c in self.numeric],
             *[F.coalesce(F.col(c).cast("double"), below).alias(f"_b_{c}") for c in self.booleans],
             *[F.col(c).isNull().cast("double").alias(f"_m_{c}") for c in self.nullable],
+            *[F.col(c).cast("string").alias(f"_c_{c}") for c in self.categorical],
         )
 
-    def assemble(self, df: DataFrame) -> DataFrame:
-        assembled = VectorAssembler(inputCols=self.inputs, outputCol="_features").transform(
-            self.prepare(df)
+    def stages(self) -> list:
+        """Estimators from prepared columns to one vector; it carries which features are sets."""
+        assembler = VectorAssembler(inputCols=self.inputs, outputCol="_features")
+        if not self.categorical:
+            return [assembler]
+        indexer = StringIndexer(
+            inputCols=[f"_c_{c}" for c in self.categorical],
+            outputCols=[f"_i_{c}" for c in self.categorical],
+            handleInvalid="error",
+            stringOrderType="alphabetAsc",
         )
-        return assembled.drop(*[c for c in self.inputs if c.startswith("_")])
+        return [indexer, assembler]
+
+    def helpers(self) -> list[str]:
+        return [*self.inputs, *[f"_c_{c}" for c in self.categorical], "_features"]
 
 
 def fit_gbt(
@@ -82,23 +96,24 @@ def fit_gbt(
     checkpointed every ten rounds, so a lost executor does not replay the whole ensemble.
     """
     ensure_checkpoint_dir(df.sparkSession)
-    settings = dict(params)
     booster = GBTRegressor(
-        featuresCol="_indexed", labelCol=label, predictionCol="prediction", seed=seed, **settings
+        featuresCol="_features",
+        labelCol=label,
+        predictionCol="prediction",
+        seed=seed,
+        cacheNodeIds=True,
+        checkpointInterval=10,
+        **dict(params),
     )
     if weight is not None:
         booster = booster.setWeightCol(weight)
-    indexer = VectorIndexer(
-        inputCol="_features", outputCol="_indexed", maxCategories=32, handleInvalid="keep"
-    )
-    train = features.assemble(df.where(F.col(label).isNotNull()))
-    columns = ["_features", label] + ([weight] if weight else [])
-    return Pipeline(stages=[indexer, booster]).fit(train.select(*columns))
+    train = features.prepare(df.where(F.col(label).isNotNull()))
+    return Pipeline(stages=[*features.stages(), booster]).fit(train)
 
 
 def predict_value(model: PipelineModel, features: TreeFeatures, df: DataFrame, name: str) -> DataFrame:
-    scored = model.transform(features.assemble(df))
-    return scored.withColumnRenamed("prediction", name).drop("_features", "_indexed")
+    scored = model.transform(features.prepare(df))
+    return scored.withColumnRenamed("prediction", name).drop(*features.helpers())
 
 
 def tune_forward(
@@ -111,24 +126,29 @@ def tune_forward(
 ) -> DataFrame:
     """Validation errors of every setting, fitted before the cut and scored from it on.
 
-    One row per setting with its rank; refitting the first on all training rows is the
-    caller's next step. Only the errors of the few settings are collected.
+    One row per setting with its rank. Settings that differ in rounds only share the longest fit,
+    whose error after every round is known. Only the errors are collected.
     """
     cut_date = F.lit(cut).cast("date")
     inner, later = df.where(F.col(date) < cut_date), df.where(F.col(date) >= cut_date)
+    later = later.where(F.col(label).isNotNull())
+    n = later.count()
+    longest: dict[tuple[float, int], int] = {}
+    for params in grid:
+        kind = (float(params["stepSize"]), int(params["maxDepth"]))
+        longest[kind] = max(longest.get(kind, 0), int(params["maxIter"]))
+    errors = {}
+    for (step, depth), rounds in longest.items():
+        model = fit_gbt(inner, features, label, {"stepSize": step, "maxDepth": depth, "maxIter": rounds})
+        *before, trees = model.stages
+        told = features.prepare(later)
+        for stage in before:
+            told = stage.transform(told)
+        errors[step, depth] = trees.evaluateEachIteration(told, "squared")
     rows = []
     for params in grid:
-        scored = predict_value(fit_gbt(inner, features, label, params), features, later, "_p")
-        errors = error_metrics(scored, label, "_p").head()
-        rows.append(
-            (
-                float(params["stepSize"]),
-                int(params["maxDepth"]),
-                int(params["maxIter"]),
-                int(errors["n"]),
-                errors["rmse"],
-            )
-        )
+        step, depth, rounds = float(params["stepSize"]), int(params["maxDepth"]), int(params["maxIter"])
+        rows.append((step, depth, rounds, n, errors[step, depth][rounds - 1] ** 0.5))
     rows.sort(key=lambda r: (r[4], r[2], r[1]))
     return df.sparkSession.createDataFrame(
         [(i, *r) for i, r in enumerate(rows, start=1)],
@@ -136,6 +156,13 @@ def tune_forward(
     )
 
 
+def fit_tuned(df: DataFrame, tuned: DataFrame, features: TreeFeatures, label: str, weight: str | None = None) -> PipelineModel:
+    """The first setting of a tuning table, fitted again on all rows."""
+    best = tuned.where("position = 1").head()
+    params = {"stepSize": best["step_size"], "maxDepth": best["max_depth"], "maxIter": best["rounds"]}
+    return fit_gbt(df, features, label, params, weight=weight)
+
+
 def unseen_periods(train: DataFrame, valid: DataFrame, period: str) -> DataFrame:
     """Periods of the validation fold that the fitting fold never saw."""
     return valid.select(period).distinct().join(
@@ -195,19 +222,26 @@ def permutation_importance(
     the others give it back.
     """
 
-    def rmse(frame: DataFrame) -> DataFrame:
-        return error_metrics(score(frame), label, "prediction").select("rmse")
-
-    base = rmse(df).scalar()
-    runs = []
-    for block, columns in blocks.items():
-        for repeat in range(repeats):
-            shuffled = permute_columns(df, keys, columns, seed + repeat)
-            runs.append(rmse(shuffled).select(F.lit(block).alias("block"), F.col("rmse")))
-    table = runs[0]
-    for run in runs[1:]:
-        table = table.unionByName(run)
-    return table.select("block", (F.col("rmse") - base).alias("_d")).groupBy("block").agg(
+    miss = F.col(label) - F.col("prediction")
+    rmse = F.sqrt(F.avg(miss * miss))
+    base = score(df).agg(rmse).scalar()
+    columns = list(dict.fromkeys(c for block in blocks.values() for c in block))
+    runs = None
+    for repeat in range(repeats):
+        # one numbering of the rows serves all blocks, and one pass scores them
+        rows = _hash_rank(df, keys, seed + repeat, "_i")
+        other = _hash_rank(df.select(*keys, *columns), keys, seed + repeat + 1_000_003, "_i")
+        met = rows.join(other.select("_i", *[F.col(c).alias(f"_p_{c}") for c in columns]), on="_i")
+        each = met.withColumn("_block", F.explode(F.array(*[F.lit(b) for b in blocks])))
+
+        def held(c: str) -> Column:
+            mine = [b for b, members in blocks.items() if c in members]
+            return F.when(F.col("_block").isin(*mine), F.col(f"_p_{c}")).otherwise(F.col(c)).alias(c)
+
+        shuffled = each.select("_block", *[held(c) if c in columns else F.col(c) for c in df.columns])
+        run = score(shuffled).groupBy(F.col("_block").alias("block")).agg((rmse - F.lit(base)).alias("_d"))
+        runs = run if runs is None else runs.unionByName(run)
+    return runs.groupBy("block").agg(
         F.avg("_d").alias("rmse_increase"), F.stddev_pop("_d").alias("sd"), F.count("*").alias("repeats")
     )
 

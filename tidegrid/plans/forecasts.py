@@ -82,7 +82,7 @@ TREES = TreeFeatures(
         "value_same_hour_7d",
     ),
     booleans=("is_weekend", "is_holiday", "is_wet"),
-    categorical=("entity_code", "day_of_week"),
+    categorical=("entity", "day_of_week"),
     nullable=TREE_NULLABLE,
 )
 COLLINEAR = ["sched_arrivals_prev_hr", "actual_arrivals_lag_1h", "arrival_slippage_lag_1h"]
@@ -115,11 +115,7 @@ class CountStudy:
 
 def _usable(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The model table, staged once: the fits below read it many times."""
-    code = F.array_position(
-        F.array(*[F.lit(e) for e in ("click", "error", "purchase", "signup", "view")]), "entity"
-    )
-    table = model_table(spark, sf_dir).where(F.col("has_count_history"))
-    return stage(table.select("*", code.cast("double").alias("entity_code")))
+    return stage(model_table(spark, sf_dir).where(F.col("has_count_history")))
 
 
 def count_study(spark: SparkSession, sf_dir: str) -> CountStudy:
