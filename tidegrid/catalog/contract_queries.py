@@ -57,7 +57,7 @@ def _history_roles(spark, table, planted=()):
 def role_coverage(spark, sf_dir):
     """Columns and nulls per role, over the measured columns of the history table."""
     table = model_table.history_table(spark, sf_dir)
-    kinds = ["history_count", "history_value"]
+    kinds = ["past_counts", "past_values"]
     roles = _history_roles(spark, table).where(
         F.col("feature_group").isin(*kinds) | F.col("role").isin("target", "leak_if_unlagged")
     )
@@ -88,7 +88,7 @@ def leaking(spark, sf_dir):
 def features(spark, sf_dir):
     """Features of two groups in their given order, with the nulls each has to resolve."""
     table = model_table.history_table(spark, sf_dir)
-    wanted = collect_features(_history_roles(spark, table), ["history_value", "history_count"])
+    wanted = collect_features(_history_roles(spark, table), ["past_values", "past_counts"])
     return null_counts(table).join(wanted, on="column_name").select(
         "column_name", "group_position", "nulls"
     )
@@ -111,25 +111,25 @@ def counted_nulls(spark, sf_dir):
 @query(
     "null_audit",
     f"""WITH {HISTORY} SELECT column_name, nulls, row_count, family FROM (
-      SELECT 'mean_value' AS column_name, count(*) FILTER (mean_value IS NULL) AS nulls, count(*) AS row_count, 'statistic of an empty hour' AS family FROM hist
-      UNION ALL SELECT 'holiday_name', count(*) FILTER (date NOT IN (DATE '2024-01-01', DATE '2024-01-02', DATE '2024-01-15')), count(*), 'ordinary day' FROM hist
-      UNION ALL SELECT 'n_lag_1h', count(*) FILTER (n_lag_1h IS NULL), count(*), 'no history yet' FROM hist
-      UNION ALL SELECT 'n_lag_24h', count(*) FILTER (n_lag_24h IS NULL), count(*), 'no history yet' FROM hist
-      UNION ALL SELECT 'n_lag_168h', count(*) FILTER (n_lag_168h IS NULL), count(*), 'no history yet' FROM hist
-      UNION ALL SELECT 'value_lag_168h', count(*) FILTER (value_lag_168h IS NULL), count(*), 'no history yet' FROM hist
-      UNION ALL SELECT 'n_same_hour_7d', count(*) FILTER (n_same_hour_7d IS NULL), count(*), 'no history yet' FROM hist
-      UNION ALL SELECT 'value_same_hour_7d', count(*) FILTER (value_same_hour_7d IS NULL), count(*), 'no history yet' FROM hist) WHERE nulls > 0""",
+      SELECT 'mean_value' AS column_name, count(*) FILTER (mean_value IS NULL) AS nulls, count(*) AS row_count, 'no event in the hour' AS family FROM hist
+      UNION ALL SELECT 'holiday_name', count(*) FILTER (date NOT IN (DATE '2024-01-01', DATE '2024-01-02', DATE '2024-01-15')), count(*), 'no holiday' FROM hist
+      UNION ALL SELECT 'n_lag_1h', count(*) FILTER (n_lag_1h IS NULL), count(*), 'before the first lag' FROM hist
+      UNION ALL SELECT 'n_lag_24h', count(*) FILTER (n_lag_24h IS NULL), count(*), 'before the first lag' FROM hist
+      UNION ALL SELECT 'n_lag_168h', count(*) FILTER (n_lag_168h IS NULL), count(*), 'before the first lag' FROM hist
+      UNION ALL SELECT 'value_lag_168h', count(*) FILTER (value_lag_168h IS NULL), count(*), 'before the first lag' FROM hist
+      UNION ALL SELECT 'n_same_hour_7d', count(*) FILTER (n_same_hour_7d IS NULL), count(*), 'before the first lag' FROM hist
+      UNION ALL SELECT 'value_same_hour_7d', count(*) FILTER (value_same_hour_7d IS NULL), count(*), 'before the first lag' FROM hist) WHERE nulls > 0""",
 )
 def audited(spark, sf_dir):
     table = model_table.history_table(spark, sf_dir)
-    return null_audit(table, model_table.NULL_FAMILIES, model_table.NULL_SUFFIXES)
+    return null_audit(table, model_table.NULL_FAMILIES, {})
 
 
 @query("null_families")
 def families(spark, sf_dir):
     """The whole model table by null family; an unexplained family would show as a row."""
     table = model_table.model_table(spark, sf_dir)
-    return audit_summary(null_audit(table, model_table.NULL_FAMILIES, model_table.NULL_SUFFIXES))
+    return audit_summary(null_audit(table, model_table.NULL_FAMILIES, {}))
 
 
 @query(

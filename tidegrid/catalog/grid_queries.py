@@ -27,24 +27,17 @@ def entity_hour_grid(spark, sf_dir):
     "entity_hour_measures",
     f"""WITH {TRIPS}, {GRID},
     agg AS (
-      SELECT date, hour, entity, count(*) AS n_events, sum(fare) AS sum_fare, sum(total) AS sum_total,
-        avg(fare) AS mean_fare, quantile_disc(fare, 0.5) AS median_fare, avg(total) AS mean_total,
-        avg(user_id) AS mean_users, avg(code) AS mean_code,
-        count(passengers) AS n_passenger_known, avg(passengers) AS mean_passengers,
-        count(*) FILTER (rate_code IS NOT NULL AND rate_code <> 99) AS n_code_known,
-        avg(CASE WHEN rate_code IS NULL OR rate_code = 99 THEN NULL WHEN rate_code = 2 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END) AS share_flat,
-        avg(CASE WHEN code < 5 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END) AS share_flex,
-        count(*) FILTER (code < 60) AS n_card, sum(CASE WHEN code < 60 THEN tip END) AS sum_tip,
-        avg(CASE WHEN code < 60 AND fare > 0 THEN tip / fare END) AS mean_tip_ratio
+      SELECT date, hour, entity, count(*) AS n_events, sum(fare) AS sum_value, avg(fare) AS mean_value,
+        quantile_disc(fare, 0.5) AS median_value, max(fare) AS top_value, min(user_id) AS first_user,
+        count(*) FILTER (fare >= 100) AS n_large, avg(CASE WHEN fare >= 100 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END) AS share_large,
+        avg(CASE WHEN fare >= 100 THEN fare END) AS mean_large, count(rate_code) AS n_coded,
+        avg(CASE WHEN rate_code IS NULL THEN NULL WHEN rate_code < 5 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END) AS share_low_code,
+        avg(rate_code) AS mean_code
       FROM trips GROUP BY date, hour, entity)
-    SELECT g.date, g.hour, g.entity, coalesce(n_events, 0) AS n_events,
-      round(coalesce(sum_fare, 0), 8) AS sum_fare, round(coalesce(sum_total, 0), 8) AS sum_total,
-      round(mean_fare, 8) AS mean_fare, round(median_fare, 8) AS median_fare, round(mean_total, 8) AS mean_total,
-      round(mean_users, 8) AS mean_users, round(mean_code, 8) AS mean_code,
-      coalesce(n_passenger_known, 0) AS n_passenger_known, round(mean_passengers, 8) AS mean_passengers,
-      coalesce(n_code_known, 0) AS n_code_known, round(share_flat, 8) AS share_flat,
-      round(share_flex, 8) AS share_flex, coalesce(n_card, 0) AS n_card,
-      round(coalesce(sum_tip, 0), 8) AS sum_tip, round(mean_tip_ratio, 8) AS mean_tip_ratio
+    SELECT g.date, g.hour, g.entity, coalesce(n_events, 0) AS n_events, round(coalesce(sum_value, 0), 8) AS sum_value,
+      round(mean_value, 8) AS mean_value, round(median_value, 8) AS median_value, round(top_value, 8) AS top_value, first_user,
+      coalesce(n_large, 0) AS n_large, round(share_large, 8) AS share_large, round(mean_large, 8) AS mean_large,
+      coalesce(n_coded, 0) AS n_coded, round(share_low_code, 8) AS share_low_code, round(mean_code, 8) AS mean_code
     FROM grid g LEFT JOIN agg a ON a.date = g.date AND a.hour = g.hour AND a.entity = g.entity""",
 )
 def entity_hour_measures(spark, sf_dir):

@@ -229,8 +229,8 @@ def alpha(spark, sf_dir):
 def rank_check(spark, sf_dir):
     """Columns and rank of the design, and of the same design with the exact alias put back."""
     study = _counts(spark, sf_dir).study
-    alias = F.col("actual_arrivals_lag_1h") - F.col("sched_arrivals_prev_hr")
-    aliased = Design((*study.design.terms, (forecasts.ALIASED, alias)))
+    planned, actual = forecasts.ALIAS.made_of
+    aliased = Design((*study.design.terms, (forecasts.ALIAS.name, F.col(actual) - F.col(planned))))
     rows = []
     for name, design in (("design", study.design), ("aliased", aliased)):
         columns, rank = design_rank(design.transform(study.train.drop("features")))

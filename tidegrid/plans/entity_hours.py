@@ -7,12 +7,20 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegrid.functions.columns import flag_missing, masked, share, tally
+from tidegrid.functions.columns import masked, share, tally
 from tidegrid.operators.aggregate import aggregate_by
 from tidegrid.operators.grid import densify, hour_grid
 from tidegrid.plans import study
+from tidegrid.plans.declared import Declared
 
 SUMS = ["n_events", "sum_value"]
+EMPTY_HOUR = "no event in the hour"
+DECLARED = [
+    Declared("n_events", "target"),
+    Declared("mean_value", "target", null=EMPTY_HOUR),
+    Declared("sum_value", "leak_if_unlagged"),
+]
+LARGE = 100.0
 
 
 def core_measures() -> dict[str, Column]:
@@ -24,30 +32,26 @@ def core_measures() -> dict[str, Column]:
 
 
 def full_measures() -> dict[str, Column]:
-    """Sixteen measures; each mean over part of the rows has its denominator beside it."""
-    unknown = flag_missing("rate_code", [study.CODE_UNKNOWN])
-    card = F.col("code") < study.CARD_BELOW
+    """How many events and users, how their values spread, and the large and the coded ones apart."""
+    large = F.col("fare") >= LARGE
+    coded = F.col("rate_code").isNotNull()
     return {
         "n_events": F.count("*"),
-        "sum_fare": F.sum("fare"),
-        "sum_total": F.sum("total"),
-        "mean_fare": F.avg("fare"),
-        "median_fare": F.percentile_approx("fare", 0.5),
-        "mean_total": F.avg("total"),
-        "mean_users": F.avg("user_id"),
-        "mean_code": F.avg("code"),
-        "n_passenger_known": F.count("passengers"),
-        "mean_passengers": F.avg("passengers"),
-        "n_code_known": tally(~unknown),
-        "share_flat": share(F.col("rate_code") == study.CODE_FLAT, known=~unknown),
-        "share_flex": share(F.col("code") < study.FLEX_BELOW),
-        "n_card": tally(card),
-        "sum_tip": F.sum(masked(card, "tip")),
-        "mean_tip_ratio": F.avg(masked(card & (F.col("fare") > 0), F.col("tip") / F.col("fare"))),
+        "sum_value": F.sum("fare"),
+        "mean_value": F.avg("fare"),
+        "median_value": F.percentile_approx("fare", 0.5),
+        "top_value": F.max("fare"),
+        "first_user": F.min("user_id"),
+        "n_large": tally(large),
+        "share_large": share(large),
+        "mean_large": F.avg(masked(large, "fare")),
+        "n_coded": tally(coded),
+        "share_low_code": share(F.col("rate_code") < 5, known=coded),
+        "mean_code": F.avg(masked(coded, "rate_code")),
     }
 
 
-FULL_ZERO = ["n_events", "n_passenger_known", "n_code_known", "n_card", "sum_fare", "sum_total", "sum_tip"]
+FULL_ZERO = ["n_events", "sum_value", "n_large", "n_coded"]
 
 
 def entity_hours(

@@ -19,73 +19,28 @@ from tidegrid.models.design import (
     levels_of,
 )
 from tidegrid.models.trees import TreeFeatures
-from tidegrid.plans.model_table import REALISED, CONTEXT_REALISED, history_table, model_table
+from tidegrid.plans import sites
+from tidegrid.plans.declared import features, filled
+from tidegrid.plans.model_table import DECLARED, history_table, model_table
 from tidegrid.sources.staging import stage
 
-ZERO_FILL = [
-    "share_longhaul",
-    "sched_arrivals_prev_hr",
-    "sched_arrivals_next_hr",
-    *[f"{c}_lag_1h" for c in [*REALISED, *CONTEXT_REALISED]],
-]
-MEDIAN_FILL = ["temp", "value_lag_168h", "value_same_hour_7d"]
-BOOLEANS = ["is_weekend", "is_holiday", "is_holiday_adjacent", "is_wet", "is_freezing"]
-# An exact difference of two other terms: barred from the linear design, kept for the trees.
-ALIASED = "arrival_slippage_lag_1h"
-INDICATORS = ["is_wet", "is_freezing"]
-CONTINUOUS = [
-    "sched_arrivals",
-    "sched_arrivals_prev_hr",
-    "sched_arrivals_next_hr",
-    "sched_distance",
-    "share_longhaul",
-    "actual_arrivals_lag_1h",
-    "mean_delay_lag_1h",
-    "share_late_lag_1h",
-    "share_cancelled_lag_1h",
-    "n_delay_observed_lag_1h",
-    "ctx_sched_arrivals",
-    "ctx_sched_distance",
-    "ctx_mean_delay_lag_1h",
-    "ctx_share_cancelled_lag_1h",
-    "ctx_n_delay_observed_lag_1h",
-    "temp",
-    "rain",
-    "n_lag_1h",
-    "n_lag_24h",
-    "n_lag_168h",
-    "n_same_hour_7d",
-]
-TREE_NULLABLE = (
-    "share_longhaul",
-    "temp",
-    "mean_delay_lag_1h",
-    "share_late_lag_1h",
-    "value_lag_168h",
-    "value_same_hour_7d",
-)
+NUMBERS = [c for c in features(DECLARED, "number") if c.name != "hour"]
+ZERO_FILL = filled(DECLARED, "zero")
+MEDIAN_FILL = filled(DECLARED, "median")
+BOOLEANS = [c.name for c in features(DECLARED, "flag")]
+INDICATORS = [c.name for c in features(sites.DECLARED, "flag")]
+#: Terms of the linear design: no exact combination of others, and no past values, which the trees use.
+CONTINUOUS = [c.name for c in NUMBERS if not c.made_of and c.group != "past_values"]
+#: An exact combination with what it is made of: permuted together, since each gives the others back.
+ALIAS = next(c for c in NUMBERS if c.made_of)
+COLLINEAR = [ALIAS.name, *ALIAS.made_of]
+TREE_NUMBERS = [c for c in NUMBERS if c.group not in ("past_counts", "elsewhere")]
 TREES = TreeFeatures(
-    numeric=(
-        "hour",
-        "sched_arrivals",
-        "sched_arrivals_prev_hr",
-        "sched_arrivals_next_hr",
-        "sched_distance",
-        "share_longhaul",
-        "actual_arrivals_lag_1h",
-        "arrival_slippage_lag_1h",
-        "mean_delay_lag_1h",
-        "share_late_lag_1h",
-        "temp",
-        "rain",
-        "value_lag_168h",
-        "value_same_hour_7d",
-    ),
-    booleans=("is_weekend", "is_holiday", "is_wet"),
-    categorical=("entity", "day_of_week"),
-    nullable=TREE_NULLABLE,
+    numeric=("hour", *[c.name for c in TREE_NUMBERS]),
+    booleans=tuple(BOOLEANS),
+    categorical=tuple(c.name for c in features(DECLARED, "level")),
+    nullable=tuple(c.name for c in TREE_NUMBERS if c.null),
 )
-COLLINEAR = ["sched_arrivals_prev_hr", "actual_arrivals_lag_1h", "arrival_slippage_lag_1h"]
 
 
 def naive_table(spark: SparkSession, sf_dir: str) -> DataFrame:

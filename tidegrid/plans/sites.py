@@ -10,11 +10,21 @@ from pyspark.sql import functions as F
 
 from tidegrid.operators.gaps import carry_forward, resolve_with_source, with_conditions
 from tidegrid.operators.joins import peer_mean
+from tidegrid.plans.declared import Declared
 from tidegrid.plans.entity_hours import entity_hours
 
 SMOOTH_HOURS, EVENT_HOURS = 3, 1
 FALLBACK_SITES = ("click", "signup", "view")
 COLD_BELOW = 90.0
+GAP = "no reading within the fill limit"
+DECLARED = [
+    Declared("temp", group="weather", null=GAP, fill="median"),
+    Declared("rain", group="weather"),
+    Declared("is_wet", group="weather", kind="flag"),
+    Declared("is_freezing", group="weather", null=GAP, kind="flag"),
+    *[Declared(f"{c}_{what}", "flag", kind="flag") for c in ("temp", "rain") for what in ("imputed", "missing")],
+    Declared("rain_source", "flag", kind="level"),
+]
 
 
 def measures() -> dict[str, Column]:
