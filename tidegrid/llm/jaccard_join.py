@@ -14,12 +14,12 @@ the lists are scanned in rounds, each on fewer sets:
 
 1. Lists over a hash range of the shingles (wider for smaller sets) hold sets; most sets have
    enough unshared shingles there and are done.
-2. Sets that remain are compared with the leader of their smallest shingles, which gathers big
-   groups of near copies into components with one comparison per set. The same lists now hold
-   components; groups of any size count once.
-3. What still remains takes part with all shingles, ordered by (list within one component, list
-   length): a prefix of the order must be shared by any linked pair, and pairs of different
-   components that meet there are checked exactly.
+2. Sets that remain are compared with the leaders of the min-hash bands they fall in, the nearest
+   ones by sketch, which gathers big groups of near copies into components with few comparisons per
+   set. The same lists now hold components; groups of any size count once.
+3. What still remains orders its shingles by (wide hash range, list within one component, list
+   length): a prefix of the order must be shared by any linked pair. Pairs of different
+   components that meet there and whose sketches allow it are checked exactly.
 
 The boundary between small and large is where the number of emitted subsets and list entries is
 least, from the counts of sets by size.
@@ -44,13 +44,19 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from tidegrid.llm.components import components
-from tidegrid.llm.storage import in_slots, slot_of, slots_of, staged
+from tidegrid.llm.storage import in_slots, slot_of, slots_of, small_batches, staged
 from tidegrid.llm.words import LOWER, U, Texts, grams, mix, slices, words_of
 
 BITS = 50
 ROWS = 1 << 14  # sets of a slice, so that owner and shingle fit one integer
 SMALLEST, LARGEST = 6, 24  # boundaries between small and large sets that are weighed
-LEADERS = 6
+LIST_COST = 3  # what an entry of a list costs, against a subset: it may pass three rounds
+BANDS, BAND_ROWS = 12, 5
+NEAREST = 2
+WIDE = 0.35  # the part of the hash range that comes first in the last round
+SKETCH_BITS = 1024
+HEAD = 12
+FINE_BITS = 1 << 14
 SLOTS = 1 << 23
 
 
@@ -156,7 +162,7 @@ def with_sets(docs: DataFrame, key: str, text: str, words: int) -> DataFrame:
 
 
 def whole_sets(docs: DataFrame, wanted: DataFrame, key: str, text: str, words: int) -> DataFrame:
-    """``sid, n, tokens, sketch`` of the wanted classes (``sid, rep``): all shingles and a parity sketch."""
+    """``sid, n, tokens, sketch, fine, bands`` of the wanted classes (``sid, rep``)."""
     bits = docs.sparkSession.sparkContext.broadcast(slots_of(wanted, "rep", SLOTS))
 
     def rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -167,53 +173,80 @@ def whole_sets(docs: DataFrame, wanted: DataFrame, key: str, text: str, words: i
             for texts in slices(held.column(0), rows=ROWS):
                 sizes, shingles = shingle_sets(texts, words)
                 bounds = np.concatenate(([0], np.cumsum(sizes)))
-                sketches = [parity_sketch(shingles[bounds[i] : bounds[i + 1]]) for i in range(len(sizes))]
+                some = sizes > 0
+                each = [shingles[bounds[i] : bounds[i + 1]] for i in np.flatnonzero(some)]
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(class_keys(sizes, shingles, bounds)),
-                        pa.array(sizes.astype(np.int64)),
-                        kept_list(shingles, bounds, np.ones(len(shingles), dtype=bool)),
-                        pa.array(sketches, pa.binary()),
+                        pa.array(class_keys(sizes, shingles, bounds)[some]),
+                        pa.array(sizes.astype(np.int64)[some]),
+                        kept_list(shingles, bounds, np.ones(len(shingles), dtype=bool)).filter(pa.array(some)),
+                        pa.array([parity_sketch(x, len(x), SKETCH_BITS) for x in each], pa.list_(pa.int64())),
+                        pa.array([parity_sketch(x, 4 * len(x), FINE_BITS) for x in each], pa.list_(pa.int64())),
+                        pa.array(list(band_keys(shingles, bounds[:-1][some])), pa.list_(pa.int64())),
                     ],
-                    ["sid", "n", "tokens", "sketch"],
+                    ["sid", "n", "tokens", "sketch", "fine", "bands"],
                 )
 
     # a representative's own row is among those with its key; others are thinned out before any shuffle
     found = docs.select(F.col(text), slot_of(F.col(key), SLOTS).alias("slot")).mapInArrow(
-        rows, "sid long, n long, tokens array<long>, sketch binary"
+        rows, "sid long, n long, tokens array<long>, sketch array<long>, fine array<long>, bands array<long>"
     )
-    once = found.groupBy("sid").agg(*[F.first(c).alias(c) for c in ("n", "tokens", "sketch")])
+    once = found.groupBy("sid").agg(*[F.first(c).alias(c) for c in ("n", "tokens", "sketch", "fine", "bands")])
     return once.join(wanted.select("sid"), "sid", "left_semi")
 
 
-def parity_sketch(shingles: np.ndarray) -> bytes:
-    """A bit for each of about n hash slots: the parity of the shingles in it."""
-    slots = max(64, 1 << max(0, int(len(shingles) - 1).bit_length()))
-    return np.packbits((np.bincount(shingles & (slots - 1), minlength=slots) & 1).astype(np.uint8)).tobytes()
+def band_keys(shingles: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """For each set (none empty), a key of each band of min-hashes."""
+    keys = np.zeros((len(starts), BANDS), dtype=U)
+    if len(starts):
+        base = shingles.astype(U)
+        for band in range(BANDS):
+            for row in range(BAND_ROWS):
+                low = np.minimum.reduceat(mix(base + U((band * BAND_ROWS + row + 1) * 0x632BE59BD9B4E019 % (1 << 64))), starts)
+                keys[:, band] = mix(keys[:, band] + low + U(band))
+    return keys.view(np.int64)
+
+
+def parity_sketch(shingles: np.ndarray, slots: int, most: int) -> np.ndarray:
+    """A bit for each of about so many hash slots: the parity of the number of shingles in it."""
+    slots = min(most, max(64, 1 << max(0, int(slots - 1).bit_length())))
+    parity = (np.bincount(shingles & (slots - 1), minlength=slots) & 1).astype(np.uint8)
+    return np.packbits(parity).view(np.int64)
 
 
-def least_difference(a: bytes, b: bytes) -> int:
+def difference(x: Column, y: Column) -> Column:
     """A lower bound of the symmetric difference of two sets, from their sketches."""
-    x, y = np.frombuffer(a, dtype=np.uint8), np.frombuffer(b, dtype=np.uint8)
-    while len(x) > len(y):
-        x = x[: len(x) // 2] ^ x[len(x) // 2 :]
-    while len(y) > len(x):
-        y = y[: len(y) // 2] ^ y[len(y) // 2 :]
-    return int(np.bitwise_count(x ^ y).sum())
 
+    def xor(a: Column, b: Column) -> Column:
+        return F.zip_with(a, b, lambda p, q: p.bitwiseXOR(q))
 
-def checked(pairs: DataFrame, sets: DataFrame, limit: Threshold) -> DataFrame:
-    """The pairs ``a, b`` that are links; a sketch first rejects pairs that differ too much."""
+    def bits(a: Column, b: Column) -> Column:
+        return F.aggregate(xor(a, b), F.lit(0), lambda t, v: t + F.bit_count(v))
+
+    def folded(a: Column, half: Column) -> Column:
+        return xor(F.slice(a, F.lit(1), half), F.slice(a, half + 1, half))
+
+    # sizes that can be linked differ by one doubling of the slots at most
+    more = F.size(x) - F.size(y)
+    return F.when(more == 0, bits(x, y)).when(more > 0, bits(folded(x, F.size(y)), y)).otherwise(bits(x, folded(y, F.size(x))))
 
-    def near(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            size = batch.column("na").to_numpy() + batch.column("nb").to_numpy()
-            most = size - 2 * -(-limit.num * size // (limit.num + limit.den))
-            differ = [
-                least_difference(x.as_py(), y.as_py())
-                for x, y in zip(batch.column("xa"), batch.column("xb"), strict=True)
-            ]
-            yield batch.select(["a", "b"]).filter(pa.array(np.asarray(differ, dtype=np.int64) <= most))
+
+def most_different(limit: Threshold, a: Column, b: Column) -> Column:
+    """The largest symmetric difference of linked sets of these sizes."""
+    size = a + b
+    return size - 2 * F.ceil(F.lit(limit.num) * size / F.lit(limit.num + limit.den))
+
+
+def sketched(pairs: DataFrame, sets: DataFrame, limit: Threshold, sketch: str) -> DataFrame:
+    """The pairs ``a, b`` that their sketches allow, with the least difference as ``apart``."""
+    x, y = (sets.select(F.col("sid").alias(k), F.col("n").alias("n" + k), F.col(sketch).alias("x" + k)) for k in "ab")
+    met = pairs.join(x, "a").join(y, "b").where(limit.sizes_fit(F.col("na"), F.col("nb")))
+    told = met.select("a", "b", difference(F.col("xa"), F.col("xb")).alias("apart"), most_different(limit, F.col("na"), F.col("nb")).alias("most"))
+    return told.where("apart <= most").drop("most")
+
+
+def checked(pairs: DataFrame, sets: DataFrame, limit: Threshold) -> DataFrame:
+    """The pairs ``a, b`` that are links: by finer sketches first, then by their whole sets."""
 
     def exact(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -224,13 +257,22 @@ def checked(pairs: DataFrame, sets: DataFrame, limit: Threshold) -> DataFrame:
                 keep[i] = (limit.num + limit.den) * both >= limit.num * (len(x) + len(y))
             yield batch.select(["a", "b"]).filter(pa.array(keep))
 
-    def side(name: str, *columns: tuple[str, str]) -> DataFrame:
-        return sets.select(F.col("sid").alias(name), *[F.col(c).alias(to + name) for c, to in columns])
+    close = staged(sketched(pairs, sets, limit, "fine").select("a", "b"))
+    # few pairs are left: only their sets move, if the pairs are few enough for Spark to broadcast
+    x, y = (close.join(sets.select(F.col("sid").alias(k), F.col("tokens").alias("t" + k)), k) for k in "ab")
+    return staged(x.join(y, ["a", "b"]).select("a", "b", "ta", "tb").mapInArrow(exact, "a long, b long"))
 
-    sketched = pairs.join(side("a", ("n", "n"), ("sketch", "x")), "a").join(side("b", ("n", "n"), ("sketch", "x")), "b")
-    left = staged(sketched.mapInArrow(near, "a long, b long"))
-    whole = left.join(side("a", ("tokens", "t")), "a").join(side("b", ("tokens", "t")), "b")
-    return staged(whole.mapInArrow(exact, "a long, b long"))
+
+def band_links(whole: DataFrame, limit: Threshold) -> DataFrame:
+    """Links of sets to leaders of their bands, the nearest by sketch."""
+    bands = whole.select("sid", F.explode("bands").alias("band"))
+    lead = bands.groupBy("band").agg(F.min("sid").alias("first"), F.max("sid").alias("last")).where("first <> last")
+    both = bands.join(lead, "band").select(F.col("sid").alias("a"), F.explode(F.array("first", "last")).alias("b"))
+    pairs = both.where("a <> b").distinct()
+    near = sketched(pairs, whole, limit, "sketch")
+    best = near.groupBy("a").agg(F.array_sort(F.collect_list(F.struct("apart", "b"))).alias("best"))
+    chosen = best.select("a", F.explode(F.slice("best", 1, NEAREST)).alias("one")).select("a", F.col("one.b").alias("b"))
+    return checked(chosen, whole, limit)
 
 
 def small_boundary(counts: dict[int, int], limit: Threshold) -> int:
@@ -238,7 +280,7 @@ def small_boundary(counts: dict[int, int], limit: Threshold) -> int:
 
     def work(most: int) -> int:
         subsets = sum(k * sum(comb(s, c) for c in limit.subset_sizes(s, most)) for s, k in counts.items() if s <= most)
-        return subsets + sum(k * s for s, k in counts.items() if s >= first_listed(most, limit))
+        return subsets + LIST_COST * sum(k * s for s, k in counts.items() if s >= first_listed(most, limit))
 
     return min(range(SMALLEST - 1, LARGEST + 1), key=lambda most: (work(most), most))
 
@@ -316,15 +358,8 @@ def list_links(docs: DataFrame, sets: DataFrame, classes: DataFrame, limit: Thre
     open1 = staged(unsettled(classes, alone))
     whole = staged(whole_sets(docs, open1, key, text, words))
 
-    # round 2: one comparison for each set, with the leader of most of its smallest shingles
-    low = whole.select("sid", "n", F.explode(F.slice("tokens", 1, LEADERS)).alias("token"))
-    lead = low.groupBy("token").agg(F.min(F.struct("sid", "n")).alias("lead"), F.count("*").alias("k")).where("k > 1")
-    met = low.join(lead.select("token", "lead"), "token").where(
-        (F.col("sid") != F.col("lead.sid")) & limit.sizes_fit(F.col("n"), F.col("lead.n"))
-    )
-    votes = met.groupBy("sid", F.col("lead.sid").alias("b")).agg(F.count("*").alias("votes"))
-    best = votes.groupBy(F.col("sid").alias("a")).agg(F.max(F.struct("votes", "b")).alias("best"))
-    stars = checked(best.select("a", F.col("best.b").alias("b")), whole, limit)
+    # round 2: a few comparisons for each set, with the leaders of its bands
+    stars = band_links(whole, limit)
     comps = components(stars).withColumnRenamed("node", "sid")
 
     entries = whole.select("sid", "n", F.explode("tokens").alias("token"))
@@ -337,21 +372,37 @@ def list_links(docs: DataFrame, sets: DataFrame, classes: DataFrame, limit: Thre
     settled = entries.where("own").join(shared, "token", "left_anti").groupBy("sid").agg(F.count("*").alias("single"))
     open2 = staged(unsettled(open1, settled).join(comps, "sid", "left").withColumn("comp", F.coalesce("comp", "sid")))
 
-    # round 3: all shingles of what remains; a linked pair shares one in both prefixes
-    rest = whole.select("sid", "tokens").join(open2, "sid")
+    # round 3: a linked pair shares a shingle in both prefixes of one order
+    rest = whole.select("sid", "n", "tokens").join(open2.select("sid", "comp"), "sid")
+    wide = F.filter("tokens", lambda t: t < F.lit(int(WIDE * (1 << BITS))))
+    missed = limit.missed(F.col("n"))
+    rest = rest.withColumn("tokens", F.when(F.size(wide) >= missed, wide).otherwise(F.col("tokens")))
     rest = staged(rest.select("sid", "n", "comp", F.explode("tokens").alias("token")))
     lists = rest.groupBy("token").agg(
         F.count("*").alias("length"), (F.min("comp") != F.max("comp")).cast("int").alias("mixed")
     )
-    order = Window.partitionBy("sid").orderBy("mixed", "length", "token")
+    order = Window.partitionBy("sid").orderBy(F.col("token") >= int(WIDE * (1 << BITS)), "mixed", "length", "token")
     ranked = rest.join(lists, "token").withColumn("place", F.row_number().over(order))
-    prefix = staged(ranked.where((F.col("place") <= limit.missed(F.col("n"))) & (F.col("mixed") == 1)).drop("place"))
-    x = prefix.select("token", F.col("sid").alias("a"), F.col("n").alias("na"), F.col("comp").alias("ca"))
-    y = prefix.select("token", F.col("sid").alias("b"), F.col("n").alias("nb"), F.col("comp").alias("cb"))
-    meet = x.join(y, "token").where(
-        (F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & limit.sizes_fit(F.col("na"), F.col("nb"))
+    ranked = ranked.where((F.col("place") <= missed) & (F.col("mixed") == 1)).select("token", "sid", "n", "comp", "place")
+    ranked = staged(ranked)
+    heads = ranked.groupBy("sid").agg(F.slice(F.array_sort(F.collect_list(F.struct("place", "token"))), 1, HEAD).alias("head"))
+    prefix = ranked.join(whole.select("sid", "sketch"), "sid").join(heads, "sid")
+    # a pair that meets in an earlier shingle too need not be told again
+    earlier = F.transform(F.filter("head", lambda h: h["place"] < F.col("place")), lambda h: h["token"])
+    prefix = staged(prefix.withColumn("earlier", earlier).drop("place", "head"))
+    x, y = (prefix.select(*[F.col(c).alias(c + side) for c in prefix.columns]) for side in ("_a", "_b"))
+    apart = difference(F.col("sketch_a"), F.col("sketch_b"))
+    meet = x.join(
+        y,
+        (F.col("token_a") == F.col("token_b"))
+        & (F.col("sid_a") < F.col("sid_b"))
+        & (F.col("comp_a") != F.col("comp_b"))
+        & limit.sizes_fit(F.col("n_a"), F.col("n_b"))
+        & ~F.arrays_overlap("earlier_a", "earlier_b")
+        & (apart <= most_different(limit, F.col("n_a"), F.col("n_b"))),
     )
-    return stars.union(checked(meet.select("a", "b").distinct(), whole, limit))
+    pairs = staged(meet.select(F.col("sid_a").alias("a"), F.col("sid_b").alias("b")).distinct())
+    return stars.union(checked(pairs, whole, limit))
 
 
 def jaccard_components(
@@ -359,6 +410,7 @@ def jaccard_components(
 ) -> DataFrame:
     """``key, n_shingles, component_id`` for every row: the smallest key reachable by links."""
     limit = Threshold(num, den)
+    small_batches(docs.sparkSession)
     sets = staged(with_sets(docs, key, text, words))
     filled = sets.where("n > 0")
     classes = staged(filled.groupBy("sid").agg(F.min(key).alias("rep"), F.max("n").alias("n")))

@@ -51,3 +51,10 @@ def slots_of(df: DataFrame, column: str, slots: int = 1 << 23) -> np.ndarray:
 
 def in_slots(bits: np.ndarray, slot: np.ndarray) -> np.ndarray:
     return (bits[slot >> 3] >> (7 - (slot & 7)).astype(np.uint8)) & 1 == 1
+
+
+def small_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Fewer rows in an Arrow batch than Spark's default, since rows here hold whole texts or sets."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if int(spark.conf.get(name)) > rows:
+        spark.conf.set(name, str(rows))

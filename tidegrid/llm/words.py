@@ -24,7 +24,7 @@ U = np.uint64
 BASE = U(0x9E3779B97F4A7C15)  # odd, so it has an inverse modulo 2^64
 UNBASE = U(pow(int(BASE), -1, 1 << 64))
 WINDOW = 1 << 19
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 
 
 def powers(base: np.uint64, n: int) -> np.ndarray:
