@@ -28,6 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidegrid.llm.storage import small_batches
 from tidegrid.llm.words import U, Texts, Words, grams, mix, slices, words_of
 
 SEED = 4
@@ -206,6 +207,7 @@ def tiled_rows(column: pa.Array, block: Block, least: float) -> Iterator[tuple[i
 
 def blocks_of(benchmark: DataFrame, item: str, text: str, seed: int, most: int) -> Iterator[Block]:
     """Items in blocks of at most ``most`` seeds (a longer item makes a block of its own)."""
+    small_batches(benchmark.sparkSession)
     held: list[Item] = []
     size = 0
     rows = benchmark.select(item, F.col(text).cast("binary").alias(text)).orderBy(item)

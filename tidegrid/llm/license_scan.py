@@ -19,6 +19,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidegrid.llm.storage import spare
+
 #: Words without which no known sentence can stand in a text.
 CUE = "licen[cs]e|copyright|rights reserved|warrant|permission|redistribut|liab|public domain|creative commons"
 SENTENCE_END = r"[.!?;:]+\s+|[.!?;:]+$|\n+"
@@ -116,25 +118,30 @@ def identified(sentence: Column) -> Column:
 
 
 def scan_licences(docs: DataFrame, keep: list[str], text: str = "text") -> DataFrame:
-    """The columns ``keep`` with ``sentence_ids, licences, left_ids`` for every row, parted by blanks in order."""
+    """The columns ``keep`` with ``sentence_ids, licences, left_ids`` for every row, parted by blanks in order.
+
+    Columns of these names are replaced.
+    """
+    keep = [c for c in keep if c.lower() not in ("sentence_ids", "licences", "left_ids")]
+    scan_ids, scan_row = spare("scan_ids", keep), spare("scan_row", keep)
     raw = F.coalesce(F.col(text), F.lit(""))
     sentences = F.filter(F.transform(F.split(raw, SENTENCE_END), normalised), lambda s: s.rlike(CUE) | s.rlike("any later version"))
     ids = F.filter(F.transform(sentences, identified), lambda i: i.isNotNull())
     none = F.array().cast("array<string>")
-    told = docs.select(*keep, F.when(F.lower(raw).rlike(CUE), ids).otherwise(none).alias("scan_ids"))
-    told = told.withColumn("scan_row", F.concat_ws("", F.transform("scan_ids", lambda i: F.concat(F.lit("<"), i, F.lit(">")))))
+    told = docs.select(*keep, F.when(F.lower(raw).rlike(CUE), ids).otherwise(none).alias(scan_ids))
+    told = told.withColumn(scan_row, F.concat_ws("", F.transform(scan_ids, lambda i: F.concat(F.lit("<"), i, F.lit(">")))))
     # most texts have no known sentence: their row stays empty and no rule looks at it
-    row, names = F.col("scan_row"), []
+    row, names = F.col(scan_row), []
     for name, parts in RULES:
         sequence = "".join(f"<{p}>" for p in parts)
         names.append(F.when(row.contains(sequence), name))
         row = F.replace(row, F.lit(sequence), F.lit("<>"))
     licences = F.concat_ws(" ", F.array_distinct(F.array_compact(F.array(*names))))
     left = F.trim(F.regexp_replace(F.regexp_replace(row, "<>", ""), "[<>]+", " "))
-    filled = F.col("scan_row") != ""
+    filled = F.col(scan_row) != ""
     return told.select(
         *keep,
-        F.concat_ws(" ", "scan_ids").alias("sentence_ids"),
+        F.concat_ws(" ", scan_ids).alias("sentence_ids"),
         F.when(filled, licences).otherwise("").alias("licences"),
         F.when(filled, left).otherwise("").alias("left_ids"),
     )

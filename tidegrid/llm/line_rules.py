@@ -1,6 +1,6 @@
 """Quality rules: statistics of each text, and the frequency of its lines across documents.
 
-A line is normalised to its words, with A-Z folded and digits read as 0, and hashed. For every
+A line is normalised to its words, with A-Z folded, and hashed. For every
 host, the distinct documents that hold a line are counted, where equal texts are one document:
 copies are no boilerplate. A line is common if more than ``least`` documents of its host and more
 than ``share`` of them hold it. Common lines are removed, and a document that loses more
@@ -13,7 +13,7 @@ broadcast to a narrow pass; their number of blocks, not their size, grows with t
 Defined results: a null or empty text has no words and fails the base rules; lines without a word
 count nowhere; a null host is a host of its own; repeated rows are judged each and counted once; an
 empty table gives an empty result; other columns pass through, but the names of the result
-columns replace columns of the same name.
+columns replace columns of the same name, and names that start with ``rules_`` are taken.
 """
 
 from __future__ import annotations
@@ -26,11 +26,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidegrid.llm.storage import staged
+from tidegrid.llm.storage import small_batches, staged
 from tidegrid.llm.words import BLANK, LOWER, U, Texts, Words, grams, mix, slices, span_keys, words_of
 
-FOLD = LOWER.copy()
-FOLD[0x30:0x3A] = 0x30
 SYMBOL = np.zeros(256, dtype=bool)
 SYMBOL[list(b"#*$%&|<>")] = True
 
@@ -105,7 +103,7 @@ def base_counts(texts: Texts, words: Words, lines: Lines) -> list[np.ndarray]:
 
 def profiled(texts: Texts) -> tuple[Words, Lines]:
     words = words_of(texts)
-    return words, lines_of(texts, words, span_keys(texts.data, words.start, words.end, FOLD))
+    return words, lines_of(texts, words, span_keys(texts.data, words.start, words.end, LOWER))
 
 
 def line_counts(docs: DataFrame, text: str, host: str) -> DataFrame:
@@ -157,6 +155,7 @@ def line_rules(
 ) -> DataFrame:
     """``docs`` with COUNTS, ``n_words_left, base_failed, kept``, and the text without common lines as ``cleaned``."""
     spark = docs.sparkSession
+    small_batches(spark)
     common = staged(common_lines(docs, text, host, least, share))
     new = [*COUNTS, "n_words_left", "base_failed", "kept", *([cleaned] if cleaned else [])]
     out = docs.select(

@@ -25,6 +25,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidegrid.llm.storage import small_batches, spare
+
 # Names of elements as HTML defines them.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset(
@@ -273,7 +275,9 @@ def main_text(page: str | None) -> str:
 
 
 def extract(pages: DataFrame, keep: list[str], html: str = "html") -> DataFrame:
-    """The columns ``keep`` with ``text`` and ``n_chars`` (code points) for every row; a narrow pass."""
+    """The columns ``keep`` with ``text`` and ``n_chars`` (code points, both replacing their like) for every row."""
+    small_batches(pages.sparkSession)
+    keep = [c for c in keep if c.lower() not in ("text", "n_chars")]
     schema = pages.select(*keep).schema.add("text", "string").add("n_chars", "long")
 
     def extracted(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -284,4 +288,4 @@ def extract(pages: DataFrame, keep: list[str], html: str = "html") -> DataFrame:
                 [*keep, "text", "n_chars"],
             )
 
-    return pages.select(*keep, F.col(html).cast("binary").alias("page_html")).mapInArrow(extracted, schema)
+    return pages.select(*keep, F.col(html).cast("binary").alias(spare("page_html", keep))).mapInArrow(extracted, schema)

@@ -27,7 +27,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidegrid.llm.words import U, Texts, mix, slices, words_of
+from tidegrid.llm.storage import small_batches, spare
+from tidegrid.llm.words import U, Texts, slices, words_of
 
 BUCKETS = 1 << 17
 END_MARK = BUCKETS - 1
@@ -136,7 +137,9 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
 
 
 def score(docs: DataFrame, table: np.ndarray, keep: list[str], text: str = "text") -> DataFrame:
-    """The columns ``keep`` and ``score``, the chance of class 1, for every row of ``docs``."""
+    """The columns ``keep`` and ``score``, the chance of class 1, for every row of ``docs``; a score it had is replaced."""
+    small_batches(docs.sparkSession)
+    keep = [c for c in keep if c.lower() != "score"]
     odds = docs.sparkSession.sparkContext.broadcast(table.astype(np.float32))
     schema = docs.select(*keep).schema.add("score", "double")
 
@@ -151,4 +154,4 @@ def score(docs: DataFrame, table: np.ndarray, keep: list[str], text: str = "text
             values = pa.array(np.concatenate(scores) if scores else np.zeros(0))
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], values], [*keep, "score"])
 
-    return docs.select(*keep, F.col(text).cast("binary").alias("score_text")).mapInArrow(scored, schema)
+    return docs.select(*keep, F.col(text).cast("binary").alias(spare("score_text", keep))).mapInArrow(scored, schema)

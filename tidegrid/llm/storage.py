@@ -34,6 +34,16 @@ def staged(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def staged_by(df: DataFrame, column: str) -> DataFrame:
+    """Like ``staged``, in buckets of one column: later joins on it move the other side only."""
+    spark = df.sparkSession
+    name = f"staged_{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark).rstrip('/')}/{name}"
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    df.write.bucketBy(buckets, column).option("path", path).saveAsTable(name, format="parquet")
+    return spark.table(name)
+
+
 def slot_of(column: Column, slots: int) -> Column:
     return F.pmod(F.xxhash64(column), F.lit(slots))
 
@@ -53,6 +63,13 @@ def in_slots(bits: np.ndarray, slot: np.ndarray) -> np.ndarray:
     return (bits[slot >> 3] >> (7 - (slot & 7)).astype(np.uint8)) & 1 == 1
 
 
+def spare(name: str, taken: list[str]) -> str:
+    """A column name that no column has yet, whatever its case."""
+    while name.lower() in {t.lower() for t in taken}:
+        name += "_"
+    return name
+
+
 def small_batches(spark: SparkSession, rows: int = 1000) -> None:
     """Fewer rows in an Arrow batch than Spark's default, since rows here hold whole texts or sets."""
     name = "spark.sql.execution.arrow.maxRecordsPerBatch"

@@ -24,6 +24,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidegrid.llm.storage import small_batches
+
 MARK = "▁"  # fixed value: what the vocabulary writes for a blank
 CACHED_CHUNKS = 1_200_000
 CACHED_LENGTH = 48
@@ -168,6 +170,7 @@ def count_tokens(
 ) -> DataFrame:
     """``key, n_bytes, n_tokens, over_limit`` for every row of ``docs``; a narrow pass without a shuffle."""
     kind = docs.schema[key].dataType.simpleString()
+    small_batches(docs.sparkSession)
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = counter_of(model_name)

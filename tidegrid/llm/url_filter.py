@@ -130,7 +130,8 @@ def calibrated(scores: DataFrame) -> float:
 
 
 def judge_urls(pages: DataFrame, rules: list[Rule], keep: list[str], url: str = "url") -> DataFrame:
-    """The columns ``keep`` with ``host, path, rule, verdict, score`` for every row."""
+    """The columns ``keep`` with ``host, path, rule, verdict, score`` (replacing their like) for every row."""
+    keep = [c for c in keep if c.lower() not in ("host", "path", "rule", "verdict", "score", "text", "by_rule")]
     host, path = host_and_path(F.col(url))
     split = pages.select(*keep, host.alias("host"), path.alias("path"))
     rule, verdict = longest_rule(F.col("host"), F.col("path"), rules)
