@@ -199,3 +199,39 @@ def test_trees_use_missingness_and_importance_ranks_it(spark):
     ).collect()
     by = {r["block"]: r["rmse_increase"] for r in found}
     assert by["x"] > 10 * abs(by["noise"])
+
+
+def test_models_and_predictions_survive_saving(spark, tmp_path):
+    from pyspark.ml.regression import GeneralizedLinearRegression
+
+    from tidegrid.models.counts import from_glm
+    from tidegrid.models.persist import load_glm, load_log_linear, load_trees, save_log_linear, save_model, save_predictions
+
+    df = spark.range(60).select("id", F.col("id").cast("double").alias("x"), (F.col("id") % 7).cast("double").alias("y"))
+    features = TreeFeatures(numeric=("x",))
+    trees = fit_gbt(df, features, "y", {"maxDepth": 2, "maxIter": 2})
+    save_model(trees, str(tmp_path / "trees"))
+    again = load_trees(str(tmp_path / "trees"))
+    expected = [r["p"] for r in predict_value(trees, features, df, "p").orderBy("id").collect()]
+    assert [r["p"] for r in predict_value(again, features, df, "p").orderBy("id").collect()] == expected
+
+    from pyspark.ml.feature import VectorAssembler
+
+    rows = VectorAssembler(inputCols=["x"], outputCol="features").transform(df)
+    glm = GeneralizedLinearRegression(family="poisson", link="log", labelCol="y").fit(rows)
+    save_model(glm, str(tmp_path / "glm"))
+    assert from_glm(load_glm(str(tmp_path / "glm"))) == from_glm(glm)
+    save_log_linear(spark, from_glm(glm), str(tmp_path / "nb"))
+    assert load_log_linear(spark, str(tmp_path / "nb")) == from_glm(glm)
+    save_predictions(from_glm(glm).predict(rows, "mu"), str(tmp_path / "scored"), ["id"], ["y", "mu"])
+    assert spark.read.parquet(str(tmp_path / "scored")).columns == ["id", "y", "mu"]
+
+
+def test_a_holiday_given_twice_is_an_error(spark):
+    from tidegrid.functions.calendar import with_holidays
+
+    days = spark.sql("SELECT DATE '2024-01-01' AS date")
+    twice = spark.sql("SELECT DATE '2024-01-01' AS date, h AS holiday_name, 'federal' AS holiday_kind FROM VALUES ('a'), ('b') AS t(h)")
+    assert with_holidays(days, twice.limit(1)).count() == 1
+    with pytest.raises(Exception, match="two holidays"):
+        with_holidays(days, twice).collect()

@@ -11,6 +11,8 @@ from tidegrid.sources.months import coverage_report, missing_months, month_parti
 from tidegrid.sources.readers import (
     FeedSpec,
     harmonise,
+    load_union,
+    read_parquet,
     reduce_feed,
     retention_report,
     stable_sample,
@@ -127,6 +129,35 @@ def retention(spark, sf_dir):
     return rounded(retention_report(lines, keep, ["year"]))
 
 
+@query(
+    "loaded_union",
+    "SELECT event_type, count(*) AS row_count, count(DISTINCT CAST(user_id AS INTEGER)) AS users, round(sum(value), 4) AS value FROM events GROUP BY event_type",
+)
+def loaded_union(spark, sf_dir):
+    """The event feed through the loader of drifting files."""
+    events = load_union(spark, f"{sf_dir}/events.parquet", FEED)
+    return rounded(
+        events.groupBy("event_type").agg(
+            F.count("*").alias("row_count"), F.count_distinct("user_id").alias("users"), F.sum("value").alias("value")
+        ),
+        4,
+    )
+
+
+@query(
+    "read_with_casts",
+    """SELECT o_orderstatus, count(*) AS row_count, CAST(sum(CAST(o_totalprice AS BIGINT)) AS BIGINT) AS whole_price,
+      min(CAST(o_orderkey AS VARCHAR)) AS first_key FROM (SELECT * REPLACE (trunc(o_totalprice) AS o_totalprice) FROM orders) GROUP BY o_orderstatus""",
+)
+def read_with_casts(spark, sf_dir):
+    orders = read_parquet(
+        spark, f"{sf_dir}/orders.parquet", casts={"o_orderkey": "string", "o_totalprice": "bigint"}
+    )
+    return orders.groupBy("o_orderstatus").agg(
+        F.count("*").alias("row_count"), F.sum("o_totalprice").alias("whole_price"), F.min("o_orderkey").alias("first_key")
+    )
+
+
 @query(
     "stable_sample",
     """SELECT event_id, event_type, value FROM events

@@ -32,9 +32,13 @@ def with_calendar(df: DataFrame, date: str = "date", hour: str = "hour") -> Data
 def with_holidays(df: DataFrame, holidays: DataFrame, date: str = "date") -> DataFrame:
     """Join ``(date, holiday_name, holiday_kind)`` and turn the kind into null-safe flags.
 
-    A holiday table holds one row per date at most, so the calendar bounds what is broadcast.
+    A date given twice is an error, so no row of ``df`` is doubled and the calendar bounds what
+    is broadcast.
     """
-    joined = df.join(F.broadcast(holidays), on=date, how="left")
+    twice = F.concat(F.lit("two holidays on "), F.col(date).cast("string"))
+    once = holidays.groupBy(date).agg(F.count("*").alias("_n"), *[F.first(c).alias(c) for c in ("holiday_name", "holiday_kind")])
+    named = F.when(F.col("_n") > 1, F.raise_error(twice)).otherwise(F.col("holiday_name")).alias("holiday_name")
+    joined = df.join(F.broadcast(once.select(date, named, "holiday_kind")), on=date, how="left")
     return joined.select(
         *df.columns,
         "holiday_name",

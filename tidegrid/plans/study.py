@@ -93,15 +93,24 @@ def trips(spark: SparkSession, sf_dir: str, coded: bool = True) -> DataFrame:
     )
 
 
-def legs(spark: SparkSession, sf_dir: str) -> DataFrame:
+def arrival_in_window() -> Column:
+    """On the raw timestamp: a leg that arrives inside the window leaves at most a day before it."""
+    start = F.lit(START).cast("timestamp_ntz") - F.expr("INTERVAL 1 DAY")
+    return between_half_open("ts", start, F.lit(END).cast("timestamp_ntz"))
+
+
+def legs(spark: SparkSession, sf_dir: str, only: Column | None = None) -> DataFrame:
     """Events as legs with ``hhmm`` clocks: departure at ``ts``, arrival ``value`` minutes on.
 
     Midnight is written 2400, as such feeds do. Some scheduled clocks are missing, some legs
-    are cancelled (no actual clock) or diverted (no delay).
+    are cancelled (no actual clock) or diverted (no delay). ``only`` is a predicate on the raw
+    events, which reaches the scan; nothing is pushed through the parse.
     """
+    events = table(spark, sf_dir, "events")
+    events = events if only is None else events.where(only)
     late = F.greatest(F.col("code") - 80, F.lit(0))
     base = parsed_once(
-        table(spark, sf_dir, "events"),
+        events,
         "event_id",
         entity=F.col("event_type"),
         leg_date=F.to_date("ts"),

@@ -33,9 +33,19 @@ def write_sorted(df: DataFrame, path: str, keys: Sequence[str], single_file: boo
     ordered.write.mode("overwrite").parquet(path)
 
 
+REPORT_ROWS = 1_000_000
+
+
+def report(df: DataFrame, most: int = REPORT_ROWS) -> DataFrame:
+    """The frame in one partition; an error if it has more rows than a report may have."""
+    if df.limit(most + 1).count() > most:
+        raise ValueError(f"a report of one file holds at most {most} rows")
+    return df.coalesce(1)
+
+
 def write_csv(df: DataFrame, path: str) -> None:
     """A small report (counts, summaries) as one CSV file with a header."""
-    df.coalesce(1).write.mode("overwrite").csv(path, header=True)
+    report(df).write.mode("overwrite").csv(path, header=True)
 
 
 def metric_rows(df: DataFrame, metrics: Mapping[str, object]) -> DataFrame:
@@ -46,7 +56,7 @@ def metric_rows(df: DataFrame, metrics: Mapping[str, object]) -> DataFrame:
 
 
 def write_metrics(df: DataFrame, path: str) -> None:
-    df.coalesce(1).write.mode("overwrite").json(path)
+    report(df).write.mode("overwrite").json(path)
 
 
 def read_metrics(spark: SparkSession, path: str, schema: str = "metric string, value double") -> DataFrame:
@@ -54,7 +64,7 @@ def read_metrics(spark: SparkSession, path: str, schema: str = "metric string, v
 
 
 def write_roles(roles: DataFrame, path: str) -> None:
-    roles.coalesce(1).write.mode("overwrite").json(path)
+    report(roles).write.mode("overwrite").json(path)
 
 
 def read_roles(spark: SparkSession, path: str) -> DataFrame:
