@@ -36,7 +36,7 @@ TWICE = BUCKETS - 2
 GRAMS = (3, 4)
 SAMPLE = 4000
 DIMENSIONS = 10
-EPOCHS = 6
+STEPS = 24_000  # of one document each, whatever the size of the sample
 RATE = 0.5
 SEED = 20240229
 
@@ -101,8 +101,9 @@ def train(rows: list[tuple[int, np.ndarray, np.ndarray]]) -> np.ndarray:
     random = np.random.default_rng(SEED)
     vectors = random.uniform(-1 / DIMENSIONS, 1 / DIMENSIONS, (BUCKETS, DIMENSIONS)).astype(np.float32)
     layer = np.zeros((2, DIMENSIONS), dtype=np.float32)
-    steps, done = EPOCHS * len(rows), 0
-    for _ in range(EPOCHS):
+    epochs = -(-STEPS // len(rows))
+    steps, done = epochs * len(rows), 0
+    for _ in range(epochs):
         for i in random.permutation(len(rows)):
             label, bucket, count = rows[i]
             rate = np.float32(RATE * (1 - done / steps))
