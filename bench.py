@@ -44,6 +44,9 @@ HEADLINE = (
     "expected_revenue",
     "glm_cell_means",
     "permuted_columns",
+    "spearman",
+    "attributed_bias",
+    "glm_poisson",
 )
 
 
