@@ -44,7 +44,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from tidegrid.llm.components import components
-from tidegrid.llm.storage import in_slots, slot_of, slots_of, small_batches, staged
+from tidegrid.llm.storage import in_slots, slot_of, slots_of, small_batches, staged, staged_by
 from tidegrid.llm.words import LOWER, U, Texts, grams, mix, slices, words_of
 
 BITS = 50
@@ -356,18 +356,18 @@ def list_links(docs: DataFrame, sets: DataFrame, classes: DataFrame, limit: Thre
         return frame.join(singles, "sid", "left").where(found < limit.missed(F.col("n"))).drop("single")
 
     open1 = staged(unsettled(classes, alone))
-    whole = staged(whole_sets(docs, open1, key, text, words))
+    whole = staged_by(whole_sets(docs, open1, key, text, words), "sid")
 
     # round 2: a few comparisons for each set, with the leaders of its bands
     stars = band_links(whole, limit)
     comps = components(stars).withColumnRenamed("node", "sid")
 
-    entries = whole.select("sid", "n", F.explode("tokens").alias("token"))
+    known = whole.select("sid", "n", "tokens").join(comps, "sid", "left").withColumn("comp", F.coalesce("comp", "sid"))
+    entries = known.select("sid", "n", "comp", F.explode("tokens").alias("token"))
     listed = F.col("token") < F.when(F.col("n") <= 2 * LARGEST, F.lit(1.0)).otherwise(
         F.least(F.lit(1.0), F.lit(0.17) + F.lit(1.3) / F.sqrt(F.col("n")))
     ) * F.lit(float(1 << BITS))
-    entries = entries.where(listed).select("token", "sid", countable(entries).alias("own"))
-    entries = staged(entries.join(comps, "sid", "left").withColumn("comp", F.coalesce("comp", "sid")))
+    entries = staged(entries.where(listed).select("token", "sid", "comp", countable(entries).alias("own")))
     shared = entries.groupBy("token").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y")
     settled = entries.where("own").join(shared, "token", "left_anti").groupBy("sid").agg(F.count("*").alias("single"))
     open2 = staged(unsettled(open1, settled).join(comps, "sid", "left").withColumn("comp", F.coalesce("comp", "sid")))
