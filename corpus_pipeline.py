@@ -20,6 +20,8 @@ from tidegrid.llm.storage import staged
 
 SHARDS = 24
 LEAST_SCORE = 0.3
+#: Near copies share 0.8 of their shingles of five words at least.
+WORDS, NUM, DEN = 5, 80, 100
 
 #: No SQL: the first stage trains a model.
 ORACLE_SQL = None
@@ -35,7 +37,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each component of near copies, the one that names it; rows of one key stay or go together."""
-    found = jaccard_components(docs)
+    found = jaccard_components(docs, words=WORDS, num=NUM, den=DEN)
     # as a table, its size is known: a small one is broadcast by Spark, a large one is joined by shuffle
     copies = staged(found.where("doc_id <> component_id").select(F.col("doc_id").alias("copy_id")).distinct())
     return docs.join(copies, F.col("doc_id") == F.col("copy_id"), "left_anti")

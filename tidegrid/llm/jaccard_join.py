@@ -53,6 +53,7 @@ SMALLEST, LARGEST = 6, 24  # boundaries between small and large sets that are we
 LIST_COST = 3  # what an entry of a list costs, against a subset: it may pass three rounds
 BANDS, BAND_ROWS = 12, 5
 NEAREST = 2
+SPARE = 0.02  # what is listed beyond the part that a partner may lack
 WIDE = 0.35  # the part of the hash range that comes first in the last round
 SKETCH_BITS = 1024
 HEAD = 12
@@ -91,24 +92,29 @@ class Threshold:
     def partners(self, s: int, most: int) -> list[int]:
         return [t for t in range(max(1, s * self.num // self.den), most + 1) if self.fits(s, t)]
 
+    @property
+    def listed(self) -> float:
+        """The part of the hash range that large sets list: somewhat more than the part that a partner may lack."""
+        return (self.den - self.num) / self.den + SPARE
+
     def subset_sizes(self, s: int, most: int) -> list[int]:
         """Sizes of the subsets that a set of s emits when sets up to ``most`` are small."""
         return sorted({c for t in self.partners(s, most) if (c := self.overlap(s, t)) < s or t > s})
 
 
-def share_listed(n: np.ndarray) -> np.ndarray:
+def share_listed(n: np.ndarray, limit: Threshold) -> np.ndarray:
     """The part of the hash range that a set of n puts into the first lists; never rises with n.
 
     Somewhat more than the part that a partner may lack, with room for chance in small sets.
     """
     n = np.maximum(n.astype(np.float64), 1)
-    part = np.minimum(1.0, 0.17 + 1.3 / np.sqrt(n))
+    part = np.minimum(1.0, limit.listed + 1.3 / np.sqrt(n))
     part[n <= 2 * LARGEST] = 1.0
     return part
 
 
-def listed_below(n: np.ndarray) -> np.ndarray:
-    return np.floor(share_listed(n) * (1 << BITS)).astype(np.int64)
+def listed_below(n: np.ndarray, limit: Threshold) -> np.ndarray:
+    return np.floor(share_listed(n, limit) * (1 << BITS)).astype(np.int64)
 
 
 def shingle_sets(texts: Texts, words: int) -> tuple[np.ndarray, np.ndarray]:
@@ -138,7 +144,7 @@ def kept_list(shingles: np.ndarray, bounds: np.ndarray, keep: np.ndarray) -> pa.
     return pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(shingles[keep]))
 
 
-def with_sets(docs: DataFrame, key: str, text: str, words: int) -> DataFrame:
+def with_sets(docs: DataFrame, key: str, text: str, words: int, limit: Threshold) -> DataFrame:
     """``key, n, sid, below, tokens``: size, class, limit of countable shingles and listed shingles."""
     kind = docs.schema[key].dataType.simpleString()
 
@@ -147,7 +153,7 @@ def with_sets(docs: DataFrame, key: str, text: str, words: int) -> DataFrame:
             for texts in slices(batch.column(1), rows=ROWS):
                 sizes, shingles = shingle_sets(texts, words)
                 bounds = np.concatenate(([0], np.cumsum(sizes)))
-                keep = shingles < np.repeat(listed_below(sizes), sizes)
+                keep = shingles < np.repeat(listed_below(sizes, limit), sizes)
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(texts.first, len(sizes)),
@@ -337,7 +343,7 @@ def list_links(docs: DataFrame, sets: DataFrame, classes: DataFrame, limit: Thre
     def countable(frame: DataFrame) -> Column:
         """Shingles that every possible partner of the set has listed too."""
         n = F.col("n") * F.lit(ratio) + 1
-        part = F.least(F.lit(1.0), F.lit(0.17) + F.lit(1.3) / F.sqrt(n)) * F.lit(1 - 1e-9)
+        part = F.least(F.lit(1.0), F.lit(limit.listed) + F.lit(1.3) / F.sqrt(n)) * F.lit(1 - 1e-9)
         return F.col("token") < F.when(n <= 2 * LARGEST, F.lit(1.0)).otherwise(part) * F.lit(float(1 << BITS))
 
     # round 1: sets with enough shingles of their own are alone
@@ -365,7 +371,7 @@ def list_links(docs: DataFrame, sets: DataFrame, classes: DataFrame, limit: Thre
     known = whole.select("sid", "n", "tokens").join(comps, "sid", "left").withColumn("comp", F.coalesce("comp", "sid"))
     entries = known.select("sid", "n", "comp", F.explode("tokens").alias("token"))
     listed = F.col("token") < F.when(F.col("n") <= 2 * LARGEST, F.lit(1.0)).otherwise(
-        F.least(F.lit(1.0), F.lit(0.17) + F.lit(1.3) / F.sqrt(F.col("n")))
+        F.least(F.lit(1.0), F.lit(limit.listed) + F.lit(1.3) / F.sqrt(F.col("n")))
     ) * F.lit(float(1 << BITS))
     entries = staged(entries.where(listed).select("token", "sid", "comp", countable(entries).alias("own")))
     shared = entries.groupBy("token").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y")
@@ -411,7 +417,7 @@ def jaccard_components(
     """``key, n_shingles, component_id`` for every row: the smallest key reachable by links."""
     limit = Threshold(num, den)
     small_batches(docs.sparkSession)
-    sets = staged(with_sets(docs, key, text, words))
+    sets = staged(with_sets(docs, key, text, words, limit))
     filled = sets.where("n > 0")
     classes = staged(filled.groupBy("sid").agg(F.min(key).alias("rep"), F.max("n").alias("n")))
     counts = {r["n"]: r["k"] for r in classes.where(F.col("n") <= 2 * LARGEST).groupBy("n").agg(F.count("*").alias("k")).collect()}
