@@ -2,9 +2,10 @@
 
 A line is normalised to its words, with A-Z folded, and hashed. For every
 host, the distinct documents that hold a line are counted, where equal texts are one document:
-copies are no boilerplate. A line is common if more than ``least`` documents of its host and more
-than ``share`` of them hold it. Common lines are removed, and a document that loses more
-than ``depleted`` of its words is rejected, as are those that fail the base rules.
+copies are no boilerplate. A line is common if more than ``least`` documents of its host hold it,
+whatever the size of the host, so a verdict does not turn as the host grows. A ``share`` of the
+host's documents can be asked for on top, but by no query. Common lines are removed, and a document
+that loses more than ``depleted`` of its words is rejected, as are those that fail the base rules.
 
 The counting is one aggregation over (host, line, text) keys, so a line that all documents share is
 summed in parts. The common lines then pass over the documents in blocks of bounded size, each
@@ -33,7 +34,7 @@ SYMBOL = np.zeros(256, dtype=bool)
 SYMBOL[list(b"#*$%&|<>")] = True
 
 LEAST = 20
-SHARE = 0.01
+SHARE = 0.0
 DEPLETED = 0.5
 BLOCK_LINES = 1 << 22
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
@@ -126,10 +127,12 @@ def line_counts(docs: DataFrame, text: str, host: str) -> DataFrame:
 
 
 def common_lines(docs: DataFrame, text: str, host: str, least: int, share: float) -> DataFrame:
-    """``host_key, line`` of the lines above both limits."""
+    """``host_key, line`` of the lines above both limits; without a share, hosts are not counted."""
+    counts = line_counts(docs, text, host).where(F.col("n") > least)
+    if not share:
+        return counts.select("host_key", "line")
     sizes = docs.select(F.xxhash64(host).alias("host_key"), F.xxhash64(text).alias("same"))
     sizes = sizes.groupBy("host_key").agg(F.count_distinct("same").alias("docs"))
-    counts = line_counts(docs, text, host).where(F.col("n") > least)
     return counts.join(sizes, "host_key").where(F.col("n") > share * F.col("docs")).select("host_key", "line")
 
 
