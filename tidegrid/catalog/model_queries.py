@@ -59,10 +59,6 @@ from tidegrid.plans.model_table import history_table
 from tidegrid.plans.study import ENTITIES
 from tidegrid.sources.staging import stage
 
-# All six settings at a twentieth of their rounds, so that the registered queries end in a minute;
-# TUNING_GRID itself is for a study of one's own.
-SHORTENED = 20
-GRID = tuple({**setting, "maxIter": setting["maxIter"] // SHORTENED} for setting in TUNING_GRID)
 VALIDATED_FROM = "2024-01-17"
 _made: dict[tuple, object] = {}
 
@@ -90,7 +86,7 @@ def _values(spark, sf_dir):
 def _tuned(spark, sf_dir):
     def make():
         train, _ = _values(spark, sf_dir)
-        return tune_forward(train, forecasts.TREES, "mean_value", "date", VALIDATED_FROM, GRID)
+        return tune_forward(train, forecasts.TREES, "mean_value", "date", VALIDATED_FROM, TUNING_GRID)
 
     return _once(spark, sf_dir, "tuned", make)
 
