@@ -22,6 +22,7 @@ key and text are not read.
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from heapq import heapify, heappop, heappush
 
 import numpy as np
 import pyarrow as pa
@@ -155,8 +156,18 @@ def tiles(item: list[int], doc: list[int], least: int) -> list[tuple[int, int, i
         if longest > 2 * search:
             search = longest  # a much longer run exists: begin again from it
             continue
-        for n, begin, at in sorted(matches, key=lambda m: (-m[0], m[1], m[2])):
-            if any(in_item[begin : begin + n]) or any(in_doc[at : at + n]):
+        order = [(-n, begin, at) for n, begin, at in matches]
+        heapify(order)
+        while order:
+            n, begin, at = heappop(order)
+            n = -n
+            free = 0
+            while free < n and not in_item[begin + free] and not in_doc[at + free]:
+                free += 1
+            if free < n:
+                # its unmarked beginning waits for its turn by length
+                if free >= search:
+                    heappush(order, (-free, begin, at))
                 continue
             in_item[begin : begin + n] = [True] * n
             in_doc[at : at + n] = [True] * n
