@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tidegrid.llm.catalog import TARGETS, domains, table
 from tidegrid.llm.decontamination import without_contaminated
-from tidegrid.llm.jaccard_join import jaccard_components
+from tidegrid.llm.jaccard_join import without_copies
 from tidegrid.llm.mixing import mix, mixing_rates
 from tidegrid.llm.quality_classifier import fit, score
 from tidegrid.llm.sharding import assign_shards
@@ -36,11 +36,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component of near copies, the one that names it; rows of one key stay or go together."""
-    found = jaccard_components(docs, words=WORDS, num=NUM, den=DEN)
-    # as a table, its size is known: a small one is broadcast by Spark, a large one is joined by shuffle
-    copies = staged(found.where("doc_id <> component_id").select(F.col("doc_id").alias("copy_id")).distinct())
-    return docs.join(copies, F.col("doc_id") == F.col("copy_id"), "left_anti")
+    """One row of each component of near copies, and every row without a word."""
+    return without_copies(docs, words=WORDS, num=NUM, den=DEN)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -47,3 +47,22 @@ def test_stage_equals_brute_force_at_five_words(spark):
     kept = [r["doc_id"] for r in corpus_pipeline.near_duplicates(spark, docs, "").collect()]
     assert set(kept) == kept_by_brute_force(rows) and len(kept) == len(set(kept))
     assert not {1, 7, 13} & set(kept)  # the second of the first pair of each of the first three kinds
+
+
+def test_one_row_of_each_group_stays_whatever_the_keys(spark):
+    random.seed(8)
+    text = [" ".join("".join(random.choices("abcdefghij", k=6)) for _ in range(40)) for _ in range(6)]
+    rows = [
+        (1, text[0], "a"), (2, text[0], "b"), (2, text[1], "c"),  # key 2 is a copy once, and once unique
+        (3, text[2], "d"), (3, text[2], "d"), (3, text[2].upper(), "e"),  # repeated rows and a copy under one key
+        (None, text[3], "f"), (None, text[3] + " more", "g"), (None, text[4], "h"),  # copies without a key
+        (None, text[5], "i"), (7, text[5], "j"),
+        (8, "", "k"), (8, "", "k"), (None, None, "l"),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, `copy_hash` string")
+    out = corpus_pipeline.near_duplicates(spark, docs, "")
+    assert out.columns == docs.columns
+    got = out.collect()
+    assert len([r for r in got if (r["text"] or "").lower() == text[2]]) == 1
+    assert len([r for r in got if r["copy_hash"] in "fg"]) == 1
+    assert sorted(r["copy_hash"] for r in got if r["copy_hash"] not in "defg") == ["a", "c", "h", "j", "k", "k", "l"]

@@ -44,7 +44,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from tidegrid.llm.components import components
-from tidegrid.llm.storage import in_slots, slot_of, slots_of, small_batches, staged, staged_by
+from tidegrid.llm.storage import in_slots, slot_of, slots_of, small_batches, spare, staged, staged_by
 from tidegrid.llm.words import LOWER, U, Texts, grams, mix, slices, words_of
 
 BITS = 50
@@ -144,27 +144,29 @@ def kept_list(shingles: np.ndarray, bounds: np.ndarray, keep: np.ndarray) -> pa.
     return pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(shingles[keep]))
 
 
-def with_sets(docs: DataFrame, key: str, text: str, words: int, limit: Threshold) -> DataFrame:
-    """``key, n, sid, below, tokens``: size, class, limit of countable shingles and listed shingles."""
+def with_sets(docs: DataFrame, key: str, text: str, words: int, limit: Threshold, marked: bool) -> DataFrame:
+    """``key, mark, n, sid, tokens``: hash of the text (null unless ``marked``), size, class and listed shingles."""
     kind = docs.schema[key].dataType.simpleString()
 
     def rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for texts in slices(batch.column(1), rows=ROWS):
+            for texts in slices(batch.column(2), rows=ROWS):
                 sizes, shingles = shingle_sets(texts, words)
                 bounds = np.concatenate(([0], np.cumsum(sizes)))
                 keep = shingles < np.repeat(listed_below(sizes, limit), sizes)
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(texts.first, len(sizes)),
+                        batch.column(1).slice(texts.first, len(sizes)),
                         pa.array(sizes.astype(np.int64)),
                         pa.array(class_keys(sizes, shingles, bounds)),
                         kept_list(shingles, bounds, keep),
                     ],
-                    [key, "n", "sid", "tokens"],
+                    [key, "mark", "n", "sid", "tokens"],
                 )
 
-    return docs.select(key, text).mapInArrow(rows, f"`{key}` {kind}, n long, sid long, tokens array<long>")
+    told = docs.select(F.col(key), (F.xxhash64(text) if marked else F.lit(None).cast("long")).alias("mark"), F.col(text))
+    return told.mapInArrow(rows, f"`{key}` {kind}, mark long, n long, sid long, tokens array<long>")
 
 
 def whole_sets(docs: DataFrame, wanted: DataFrame, key: str, text: str, words: int) -> DataFrame:
@@ -411,26 +413,58 @@ def list_links(docs: DataFrame, sets: DataFrame, classes: DataFrame, limit: Thre
     return stars.union(checked(pairs, whole, limit))
 
 
-def jaccard_components(
-    docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = 4, num: int = 85, den: int = 100
-) -> DataFrame:
-    """``key, n_shingles, component_id`` for every row: the smallest key reachable by links."""
-    limit = Threshold(num, den)
+def named_classes(docs: DataFrame, key: str, text: str, words: int, limit: Threshold, marked: bool = False) -> tuple[DataFrame, DataFrame]:
+    """The sets of all rows, and ``sid, component_id, first`` of every class: the least key and, if ``marked``, the first row of its component."""
     small_batches(docs.sparkSession)
-    sets = staged(with_sets(docs, key, text, words, limit))
+    sets = staged(with_sets(docs, key, text, words, limit, marked))
     filled = sets.where("n > 0")
-    classes = staged(filled.groupBy("sid").agg(F.min(key).alias("rep"), F.max("n").alias("n")))
+    first = F.struct(F.col(key).isNull().alias("unkeyed"), F.col(key).alias("key"), F.col("mark"))
+    firsts = [F.min(first).alias("first")] if marked else []
+    classes = staged(filled.groupBy("sid").agg(F.min(key).alias("rep"), F.max("n").alias("n"), *firsts))
     counts = {r["n"]: r["k"] for r in classes.where(F.col("n") <= 2 * LARGEST).groupBy("n").agg(F.count("*").alias("k")).collect()}
     most = small_boundary(counts, limit)
     large = F.col("n") >= first_listed(most, limit)
     links = subset_links(filled, most, limit).union(
-        list_links(docs, filled.where(large), classes.where(large), limit, key, text, words)
+        list_links(docs, filled.where(large), classes.drop("first").where(large), limit, key, text, words)
     )
     comps = components(links).withColumnRenamed("node", "sid")
     joined = staged(classes.join(comps, "sid", "left").withColumn("comp", F.coalesce("comp", "sid")))
-    least = joined.groupBy("comp").agg(F.min("rep").alias("component_id"))
-    named = joined.join(least, "comp").select("sid", "component_id")
+    least = joined.groupBy("comp").agg(F.min("rep").alias("component_id"), *[F.min("first").alias("first") for _ in firsts])
+    return sets, joined.drop("first").join(least, "comp").select("sid", "component_id", *["first" for _ in firsts])
+
+
+def jaccard_components(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = 4, num: int = 85, den: int = 100
+) -> DataFrame:
+    """``key, n_shingles, component_id`` for every row: the smallest key reachable by links."""
+    sets, named = named_classes(docs, key, text, words, Threshold(num, den))
     result = sets.select(F.col(key), F.col("n").alias("n_shingles"), "sid").join(named, "sid", "left")
     return result.select(
         F.col(key), "n_shingles", F.coalesce(F.col("component_id"), F.col(key)).alias("component_id")
     )
+
+
+def without_copies(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = 4, num: int = 85, den: int = 100
+) -> DataFrame:
+    """The rows of ``docs`` with one row of each component, the first by key (null last) and text hash; empty sets stay.
+
+    Rows are told by key and text, so neither repeated rows nor another text under the key of a copy are mistaken.
+    """
+    sets, named = named_classes(docs, key, text, words, Threshold(num, den), marked=True)
+    rows = sets.where("n > 0").select("sid", F.col(key).alias("copy_key"), F.col("mark").alias("copy_mark")).join(named, "sid")
+    stays = F.col("copy_key").eqNullSafe(F.col("first.key")) & (F.col("copy_mark") == F.col("first.mark"))
+    told = rows.groupBy("copy_key", "copy_mark").agg(F.bool_or(stays).alias("stays"), F.count("*").alias("rows"))
+    # as a table, its size is known: a small one is broadcast by Spark, a large one is joined by shuffle
+    told = staged(told.where("NOT stays OR rows > 1"))
+    mark = spare("copy_hash", docs.columns)
+    marked = docs.withColumn(mark, F.xxhash64(text))
+    same = marked[key].eqNullSafe(told["copy_key"]) & (marked[mark] == told["copy_mark"])
+    out = marked.join(told, same, "left_anti").select(docs.columns)
+    repeats = staged(told.where("stays"))
+    if repeats.isEmpty():
+        return out
+    same = marked[key].eqNullSafe(repeats["copy_key"]) & (marked[mark] == repeats["copy_mark"])
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    once = marked.join(repeats, same, "left_semi").groupBy(key, mark).agg(F.first(row).alias("row")).select("row.*")
+    return out.union(once.select(docs.columns))
