@@ -3,14 +3,16 @@
 A naive Bayes classifier, fitted on a labelled table, gives every document a posterior over
 domains. Each document gets a rate (how often it is used in an epoch) such that the expected tokens
 of each domain, the sum of rate x tokens x posterior, come near the targets. Rates are nonnegative
-and near one: projected gradient descent minimises
+and near one; they minimise
 
     1/2 sum_k (tokens_k(rates) / T - target_k)^2 + ridge / 2 sum_d (tokens_d / T) (rate_d - 1)^2
 
-in the metric of the documents' token shares, in which a step changes a rate by its posterior and
-the residuals alone. Documents of equal posterior (rounded to three decimals) therefore keep equal
-rates and are summed before the descent; each step is one aggregate, and only one number for each
-domain reaches the driver.
+At the least value, a rate is max(0, 1 - pull / ridge), where pull is the sum of posterior x residual
+over the domains. So one residual for each domain is sought, by Newton steps on the dual problem, until
+the residuals that the rates leave are those that made them to ``TOLERANCE``; that difference also bounds
+the projected gradient of every rate. Rare domains take no more steps than common ones. Documents of equal
+posterior (rounded to three decimals) have equal rates and are summed before; each step is one aggregate,
+and only sums over domains and pairs of domains reach the driver.
 
 The classifier knows at most ``vocabulary`` words, those whose class shares differ most in a
 sample of at most ``sample`` labelled documents (the bound on fitting), so the table that is
@@ -27,6 +29,7 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -39,9 +42,9 @@ VOCABULARY = 4096
 LEAST_DOCS = 5
 SHARPNESS = 4.0
 DECIMALS = 3
-STEPS = 40
+STEPS = 100  # far more than are needed; a guard against an endless search
 RIDGE = 0.001
-TOLERANCE = 1e-4
+TOLERANCE = 1e-9
 
 
 def words_in(text: Column) -> Column:
@@ -112,34 +115,39 @@ def fit_rates(members: DataFrame, targets: list[float], steps: int = STEPS, ridg
     total = cells.agg(F.sum("tokens")).first()[0] or 0.0
     if not total:
         return cells.select("mix_p", F.lit(1.0).alias("mix_rate"))
-    step = 1 / (1 + ridge)
-    history: list[tuple[list[float], float]] = []
 
-    def followed() -> Column:
-        """The rate and the point of the next gradient, from the residuals of all steps so far."""
-        start = F.struct(F.lit(1.0).alias("rate"), F.lit(1.0).alias("ahead"))
-        if not history:
-            return start
-        past = F.array(*[F.struct(F.array(*map(F.lit, e)).alias("e"), F.lit(m).alias("m")) for e, m in history])
-
-        def move(state: Column, told: Column) -> Column:
-            pull = sum(F.col("mix_p")[i] * told["e"][i] for i in range(k))
-            rate = F.greatest(F.lit(0.0), state["ahead"] - F.lit(step) * (pull + F.lit(ridge) * (state["ahead"] - 1)))
-            return F.struct(rate.alias("rate"), (rate + told["m"] * (rate - state["rate"])).alias("ahead"))
-
-        return F.aggregate(past, start, move)
-
-    pace = 1.0
+    def rates(pulls: np.ndarray) -> Column:
+        """The best rate of a cell where the residuals are ``pulls``."""
+        pull = sum(F.col("mix_p")[i] * F.lit(float(pulls[i])) for i in range(k))
+        return F.greatest(F.lit(0.0), 1 - pull / F.lit(ridge))
+
+    def told(pulls: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
+        """Value, gradient and curvature of the dual problem, from one aggregate over the cells."""
+        rated = cells.select("mix_p", F.col("tokens").alias("w"), rates(pulls).alias("rate"))
+        held = F.when(F.col("rate") > 0, F.col("w")).otherwise(0.0)
+        each = [F.sum(F.col("w") * F.col("rate") * F.col("rate"))]
+        each += [F.sum(F.col("w") * F.col("rate") * F.col("mix_p")[i]) for i in range(k)]
+        each += [F.sum(held * F.col("mix_p")[i] * F.col("mix_p")[j]) for i in range(k) for j in range(k)]
+        sums = np.array(rated.agg(*[e.alias(f"s{i}") for i, e in enumerate(each)]).first()) / total
+        value = pulls @ pulls / 2 + pulls @ wanted + ridge / 2 * sums[0]
+        return value, pulls + wanted - sums[1 : k + 1], np.eye(k) + sums[k + 1 :].reshape(k, k) / ridge
+
+    wanted = np.array(targets, dtype=float)
+    pulls = np.zeros(k)
+    value, slope, curve = told(pulls)
     for _ in range(steps):
-        ahead = cells.select("mix_p", "tokens", followed()["ahead"].alias("ahead"))
-        sums = ahead.agg(*[F.sum(F.col("tokens") * F.col("ahead") * F.col("mix_p")[i]).alias(f"t{i}") for i in range(k)]).first()
-        residual = [sums[i] / total - targets[i] for i in range(k)]
-        faster = (1 + math.sqrt(1 + 4 * pace * pace)) / 2
-        history.append((residual, (pace - 1) / faster))
-        pace = faster
-        if len(history) > 3 and max(abs(a - b) for a, b in zip(history[-1][0], history[-2][0], strict=True)) < TOLERANCE:
+        if np.abs(slope).max() <= TOLERANCE:
             break
-    return staged(cells.select("mix_p", followed()["rate"].alias("mix_rate")))
+        way, pace = -np.linalg.solve(curve, slope), 1.0
+        while True:
+            ahead = told(pulls + pace * way)
+            # values are sums over the corpus, so they are compared up to rounding
+            if ahead[0] <= value + pace * (way @ slope) / 4 + 1e-12 * (1 + abs(value)) or pace < 1e-6:
+                break
+            pace /= 2
+        pulls = pulls + pace * way
+        value, slope, curve = ahead
+    return staged(cells.select("mix_p", rates(pulls).alias("mix_rate")))
 
 
 def mixing_rates(
