@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidegrid.llm import conversation_repair, toxicity, vector_codes
 from tidegrid.llm.decontamination import contaminated
 from tidegrid.llm.jaccard_join import jaccard_components
 from tidegrid.llm.main_text import extract
@@ -114,6 +115,32 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licences(table(spark, sf_dir, "documents"), ["doc_id"])
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Code of every usable embedding under 8 codebooks of 16 entries, with errors."""
+    coded, books = vector_codes.compress(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", "label")
+    return coded.select("vec_id", "code", "error", "label_error", F.lit(books.sha256() if books else None).cast("string").alias("codebooks_sha256"))
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults, cheapest edits and checksum of the repaired text of every damaged conversation."""
+    rows = table(spark, sf_dir, "conversations")
+    plans, repaired = conversation_repair.repair(conversation_repair.damaged(rows), rows.select("conv_id"))
+    sums = conversation_repair.checksums(repaired).withColumnRenamed("conv_id", "_conv")
+    nothing = F.sha2(F.lit("").cast("binary"), 256)
+    return plans.join(sums, F.col("conv_id").eqNullSafe(F.col("_conv")), "left").select(
+        *plans.columns, F.coalesce("repaired_sha256", nothing).alias("repaired_sha256")
+    )
+
+
+def op13_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document; a fifth of the keys is never trained on."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    seen = labels.where(remainder(F.col("doc_id")) != 0).select("doc_id", F.col("toxic").alias("label"))
+    weights = toxicity.fit(docs.select("doc_id", "text"), seen)
+    marked = docs.select("doc_id", (remainder(F.col("doc_id")) == 0).alias("held_out"), "text")
+    return toxicity.score(marked, weights, ["doc_id", "held_out"]).withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_token_counts": op1_token_counts,
     "op2_url_filter": op2_url_filter,
@@ -125,6 +152,9 @@ QUERIES: dict[str, Query] = {
     "op8_quality_classifier": op8_quality_classifier,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_license_scan": op10_license_scan,
+    "op11_vector_codes": op11_vector_codes,
+    "op12_conversation_repair": op12_conversation_repair,
+    "op13_toxicity": op13_toxicity,
 }
 
-ORACLES: dict[str, str] = {"op10_license_scan": oracle()}
+ORACLES: dict[str, str] = {"op10_license_scan": oracle(), "op11_vector_codes": vector_codes.oracle()}
