@@ -66,3 +66,14 @@ def test_one_row_of_each_group_stays_whatever_the_keys(spark):
     assert len([r for r in got if (r["text"] or "").lower() == text[2]]) == 1
     assert len([r for r in got if r["copy_hash"] in "fg"]) == 1
     assert sorted(r["copy_hash"] for r in got if r["copy_hash"] not in "defg") == ["a", "c", "h", "j", "k", "k", "l"]
+
+
+def test_slots_keep_every_value_and_thin_the_rest(spark):
+    from tidegrid.llm.storage import in_slots, slots_of
+
+    some = spark.createDataFrame([(i * 37,) for i in range(2000)] + [(None,)], "rep long")
+    rows = spark.range(-10, 80_000).selectExpr("id AS k", "id AS bits")
+    got = {r["k"] for r in in_slots(rows, "k", slots_of(some, "rep")).collect()}
+    wanted = {r["rep"] for r in some.collect()} & {r["k"] for r in rows.collect()}
+    assert wanted <= got and len(got) < len(wanted) + 200
+    assert in_slots(rows, "k", slots_of(some.limit(0), "rep")).count() == 0

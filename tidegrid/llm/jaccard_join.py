@@ -44,7 +44,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from tidegrid.llm.components import components
-from tidegrid.llm.storage import in_slots, slot_of, slots_of, small_batches, spare, staged, staged_by
+from tidegrid.llm.storage import in_slots, slots_of, small_batches, spare, staged, staged_by
 from tidegrid.llm.words import LOWER, U, Texts, grams, mix, slices, words_of
 
 BITS = 50
@@ -58,7 +58,9 @@ WIDE = 0.35  # the part of the hash range that comes first in the last round
 SKETCH_BITS = 1024
 HEAD = 12
 FINE_BITS = 1 << 14
-SLOTS = 1 << 23
+#: A leader with more than this share of the pairs, and more than so many, is joined by broadcast.
+HOT_SHARE = 1 / 1000
+MANY = 100
 
 
 class Threshold:
@@ -171,14 +173,10 @@ def with_sets(docs: DataFrame, key: str, text: str, words: int, limit: Threshold
 
 def whole_sets(docs: DataFrame, wanted: DataFrame, key: str, text: str, words: int) -> DataFrame:
     """``sid, n, tokens, sketch, fine, bands`` of the wanted classes (``sid, rep``)."""
-    bits = docs.sparkSession.sparkContext.broadcast(slots_of(wanted, "rep", SLOTS))
 
     def rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            held = batch.filter(pa.array(in_slots(bits.value, batch.column(1).to_numpy())))
-            if not held.num_rows:
-                continue
-            for texts in slices(held.column(0), rows=ROWS):
+            for texts in slices(batch.column(0), rows=ROWS):
                 sizes, shingles = shingle_sets(texts, words)
                 bounds = np.concatenate(([0], np.cumsum(sizes)))
                 some = sizes > 0
@@ -196,7 +194,8 @@ def whole_sets(docs: DataFrame, wanted: DataFrame, key: str, text: str, words: i
                 )
 
     # a representative's own row is among those with its key; others are thinned out before any shuffle
-    found = docs.select(F.col(text), slot_of(F.col(key), SLOTS).alias("slot")).mapInArrow(
+    held = in_slots(docs.select(F.col(key).alias("_key"), F.col(text).alias("_text")), "_key", slots_of(wanted, "rep"))
+    found = held.select("_text").mapInArrow(
         rows, "sid long, n long, tokens array<long>, sketch array<long>, fine array<long>, bands array<long>"
     )
     once = found.groupBy("sid").agg(*[F.first(c).alias(c) for c in ("n", "tokens", "sketch", "fine", "bands")])
@@ -246,9 +245,17 @@ def most_different(limit: Threshold, a: Column, b: Column) -> Column:
 
 
 def sketched(pairs: DataFrame, sets: DataFrame, limit: Threshold, sketch: str) -> DataFrame:
-    """The pairs ``a, b`` that their sketches allow, with the least difference as ``apart``."""
+    """The pairs ``a, b`` of a staged table that their sketches allow, with the least difference as ``apart``.
+
+    A ``b`` in many pairs (at most 1 / HOT_SHARE of them) meets its pairs by broadcast; nobody is in
+    many pairs as ``a``.
+    """
     x, y = (sets.select(F.col("sid").alias(k), F.col("n").alias("n" + k), F.col(sketch).alias("x" + k)) for k in "ab")
-    met = pairs.join(x, "a").join(y, "b").where(limit.sizes_fit(F.col("na"), F.col("nb")))
+    often = pairs.groupBy("b").agg(F.count("*").alias("k")).where(F.col("k") > max(MANY, pairs.count() * HOT_SHARE))
+    hot = staged(y.join(often.select("b"), "b"))
+    met = pairs.join(F.broadcast(hot.select("b")), "b", "left_anti").join(x, "a").join(y, "b")
+    met = met.unionByName(pairs.join(F.broadcast(hot), "b").join(x, "a"), allowMissingColumns=False)
+    met = met.where(limit.sizes_fit(F.col("na"), F.col("nb")))
     told = met.select("a", "b", difference(F.col("xa"), F.col("xb")).alias("apart"), most_different(limit, F.col("na"), F.col("nb")).alias("most"))
     return told.where("apart <= most").drop("most")
 
@@ -265,7 +272,7 @@ def checked(pairs: DataFrame, sets: DataFrame, limit: Threshold) -> DataFrame:
                 keep[i] = (limit.num + limit.den) * both >= limit.num * (len(x) + len(y))
             yield batch.select(["a", "b"]).filter(pa.array(keep))
 
-    close = staged(sketched(pairs, sets, limit, "fine").select("a", "b"))
+    close = staged(sketched(staged(pairs), sets, limit, "fine").select("a", "b"))
     # few pairs are left: only their sets move, if the pairs are few enough for Spark to broadcast
     x, y = (close.join(sets.select(F.col("sid").alias(k), F.col("tokens").alias("t" + k)), k) for k in "ab")
     return staged(x.join(y, ["a", "b"]).select("a", "b", "ta", "tb").mapInArrow(exact, "a long, b long"))
@@ -276,7 +283,7 @@ def band_links(whole: DataFrame, limit: Threshold) -> DataFrame:
     bands = whole.select("sid", F.explode("bands").alias("band"))
     lead = bands.groupBy("band").agg(F.min("sid").alias("first"), F.max("sid").alias("last")).where("first <> last")
     both = bands.join(lead, "band").select(F.col("sid").alias("a"), F.explode(F.array("first", "last")).alias("b"))
-    pairs = both.where("a <> b").distinct()
+    pairs = staged(both.where("a <> b").distinct())
     near = sketched(pairs, whole, limit, "sketch")
     best = near.groupBy("a").agg(F.array_sort(F.collect_list(F.struct("apart", "b"))).alias("best"))
     chosen = best.select("a", F.explode(F.slice("best", 1, NEAREST)).alias("one")).select("a", F.col("one.b").alias("b"))
@@ -409,7 +416,7 @@ def list_links(docs: DataFrame, sets: DataFrame, classes: DataFrame, limit: Thre
         & ~F.arrays_overlap("earlier_a", "earlier_b")
         & (apart <= most_different(limit, F.col("n_a"), F.col("n_b"))),
     )
-    pairs = staged(meet.select(F.col("sid_a").alias("a"), F.col("sid_b").alias("b")).distinct())
+    pairs = meet.select(F.col("sid_a").alias("a"), F.col("sid_b").alias("b")).distinct()
     return stars.union(checked(pairs, whole, limit))
 
 

@@ -5,12 +5,15 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
 LOCAL_FOLDERS: dict[str, str] = {}
+WRITTEN: dict[str, int] = {}
+#: Tables staged between two collections of the driver's garbage.
+TIDY_EVERY = 4
+SLOTS = 1 << 23
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -26,11 +29,24 @@ def shared_folder(spark: SparkSession) -> str:
     return LOCAL_FOLDERS[app]
 
 
+def tidy(spark: SparkSession, every: int = TIDY_EVERY) -> None:
+    """Now and then let the driver collect its garbage.
+
+    Spark frees the broadcasts and shuffle files of a finished query when the driver's JVM collects
+    the query's plan. Jobs of many small queries fill the heap with plans long before that happens.
+    """
+    app = spark.sparkContext.applicationId
+    WRITTEN[app] = WRITTEN.get(app, 0) + 1
+    if WRITTEN[app] % every == 0:
+        spark.sparkContext._jvm.System.gc()
+
+
 def staged(df: DataFrame) -> DataFrame:
     """Write the frame as Parquet in the shared folder and read it again: a lost executor costs no recomputation."""
     spark = df.sparkSession
     path = f"{shared_folder(spark).rstrip('/')}/staged-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    tidy(spark)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -48,19 +64,24 @@ def slot_of(column: Column, slots: int) -> Column:
     return F.pmod(F.xxhash64(column), F.lit(slots))
 
 
-def slots_of(df: DataFrame, column: str, slots: int = 1 << 23) -> np.ndarray:
-    """A bit for each slot that a value falls in: at most ``slots`` bits, whatever the number of values.
+def slots_of(df: DataFrame, column: str) -> DataFrame:
+    """``bucket, bits``: a bit for each slot of ``SLOTS`` that a value falls in, one MB in all at most.
 
     It only thins what a later exact join sees; when it is full, nothing is thinned and nothing lost.
     """
-    taken = df.select(slot_of(F.col(column), slots).cast("int").alias("slot")).distinct().toArrow()
-    bits = np.zeros(slots, dtype=bool)
-    bits[taken.column("slot").to_numpy()] = True
-    return np.packbits(bits)
-
-
-def in_slots(bits: np.ndarray, slot: np.ndarray) -> np.ndarray:
-    return (bits[slot >> 3] >> (7 - (slot & 7)).astype(np.uint8)) & 1 == 1
+    slot = slot_of(F.col(column), SLOTS)
+    return staged(df.groupBy(F.bitmap_bucket_number(slot).alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(slot)).alias("bits")))
+
+
+def in_slots(df: DataFrame, column: str, slots: DataFrame) -> DataFrame:
+    """The rows whose value falls in a taken slot, and by chance a few more."""
+    slot = slot_of(F.col(column), SLOTS)
+    place = F.bitmap_bit_position(slot)
+    bucket, bits = spare("bucket", df.columns), spare("bits", df.columns)
+    byte = F.conv(F.hex(F.substring(F.col(bits), (place / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    taken = F.getbit(byte, (place % 8).cast("int")) == 1
+    marked = df.join(F.broadcast(slots.toDF(bucket, bits)), F.bitmap_bucket_number(slot) == F.col(bucket))
+    return marked.where(taken).select(df.columns)
 
 
 def spare(name: str, taken: list[str]) -> str:
