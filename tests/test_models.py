@@ -162,22 +162,21 @@ def test_declared_features_stay_what_they_are_at_any_size(spark):
             F.concat(F.lit("k"), F.col("id") % 4).alias("kind"),
             (F.col("id") % 4).cast("double").alias("y"),
         )
-        model = fit_gbt(df, features, "y", {"maxDepth": 2, "maxIter": 2})
-        attributes = [s for s in model.stages if hasattr(s, "labelsArray")][0]
-        assert [list(labels) for labels in attributes.labelsArray] == [["k0", "k1", "k2", "k3"]]
-        vector = model.stages[1].transform(model.stages[0].transform(features.prepare(df)))
-        kinds = vector.schema["_features"].metadata["ml_attr"]["attrs"]
-        assert [a["name"] for a in kinds["nominal"]] == ["_i_kind"] and len(kinds["numeric"]) == 2
+        model = fit_gbt(df, features, "y", {"step": 0.5, "leaves": 4, "rounds": 2})
+        assert model.bins.levels == (("k0", "k1", "k2", "k3"),) and len(model.bins.cuts) == 2
+        assert model.bins.cuts[0] == (0.0, 1.0, 2.0)
     with pytest.raises(Exception, match="[Uu]nseen"):
-        predict_value(model, features, df.withColumn("kind", F.lit("new")), "p").collect()
+        predict_value(model, df.withColumn("kind", F.lit("new")), "p").collect()
+    with pytest.raises(ValueError, match="levels"):
+        fit_gbt(df, TreeFeatures(numeric=(), categorical=("many",)), "y", {"step": 0.5, "leaves": 4, "rounds": 2})
 
 
 def test_trees_of_a_constant_target_predict_it(spark):
     df = spark.range(50).select(F.col("id").alias("x"), F.lit(7.5).alias("y"))
     features = TreeFeatures(numeric=("x",))
-    model = fit_gbt(df, features, "y", {"maxDepth": 2, "maxIter": 2})
-    assert {r["p"] for r in predict_value(model, features, df, "p").collect()} == {7.5}
-    flat = permutation_importance(df.withColumn("c", F.lit(1)), lambda d: predict_value(model, features, d, "prediction"), "y", ["x"], {"c": ["c"]})
+    model = fit_gbt(df, features, "y", {"step": 0.1, "leaves": 4, "rounds": 2})
+    assert {r["p"] for r in predict_value(model, df, "p").collect()} == {7.5}
+    flat = permutation_importance(df, model, "y", ["x"], {"x": ["x"]})
     assert flat.head()["rmse_increase"] == 0 and flat.head()["repeats"] == 5
 
 
@@ -189,14 +188,12 @@ def test_trees_use_missingness_and_importance_ranks_it(spark):
     frame = pd.DataFrame({"id": range(n), "x": np.where(hole, np.nan, x), "noise": rng.normal(size=n), "k": rng.integers(0, 3, n) * 1.0})
     frame["y"] = np.where(hole, 5.0, np.where(x > 0, 2.0, -2.0)) + 0.1 * rng.normal(size=n)
     df = spark.createDataFrame(frame).select("id", F.nanvl("x", F.lit(None)).alias("x"), "noise", "k", "y").cache()
-    features = TreeFeatures(numeric=("x", "noise"), categorical=("k",), nullable=("x",))
-    model = fit_gbt(df, features, "y", {"stepSize": 0.3, "maxDepth": 3, "maxIter": 5})
-    scored = predict_value(model, features, df, "p")
+    features = TreeFeatures(numeric=("x", "noise"), categorical=("k",))
+    model = fit_gbt(df, features, "y", {"step": 0.3, "leaves": 8, "rounds": 5})
+    scored = predict_value(model, df, "p")
     rmse = scored.agg(F.sqrt(F.avg(F.pow(F.col("y") - F.col("p"), F.lit(2.0))))).head()[0]
     assert rmse < 1.0
-    found = permutation_importance(
-        df, lambda d: predict_value(model, features, d, "prediction"), "y", ["id"], {"x": ["x"], "noise": ["noise"]}, repeats=2
-    ).collect()
+    found = permutation_importance(df, model, "y", ["id"], {"x": ["x"], "noise": ["noise"]}, repeats=2).collect()
     by = {r["block"]: r["rmse_increase"] for r in found}
     assert by["x"] > 10 * abs(by["noise"])
 
@@ -205,15 +202,15 @@ def test_models_and_predictions_survive_saving(spark, tmp_path):
     from pyspark.ml.regression import GeneralizedLinearRegression
 
     from tidegrid.models.counts import from_glm
-    from tidegrid.models.persist import load_glm, load_log_linear, load_trees, save_log_linear, save_model, save_predictions
+    from tidegrid.models.persist import load_glm, load_log_linear, load_trees, save_log_linear, save_model, save_predictions, save_trees
 
     df = spark.range(60).select("id", F.col("id").cast("double").alias("x"), (F.col("id") % 7).cast("double").alias("y"))
     features = TreeFeatures(numeric=("x",))
-    trees = fit_gbt(df, features, "y", {"maxDepth": 2, "maxIter": 2})
-    save_model(trees, str(tmp_path / "trees"))
-    again = load_trees(str(tmp_path / "trees"))
-    expected = [r["p"] for r in predict_value(trees, features, df, "p").orderBy("id").collect()]
-    assert [r["p"] for r in predict_value(again, features, df, "p").orderBy("id").collect()] == expected
+    trees = fit_gbt(df, features, "y", {"step": 0.3, "leaves": 4, "rounds": 3})
+    save_trees(spark, trees, str(tmp_path / "trees"))
+    again = load_trees(spark, str(tmp_path / "trees"))
+    expected = [r["p"] for r in predict_value(trees, df, "p").orderBy("id").collect()]
+    assert [r["p"] for r in predict_value(again, df, "p").orderBy("id").collect()] == expected
 
     from pyspark.ml.feature import VectorAssembler
 

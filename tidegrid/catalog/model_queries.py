@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidegrid.catalog.history_queries import HISTORY
-from tidegrid.catalog.registry import query, rounded
+from tidegrid.catalog.registry import HOURS, query, rounded
 from tidegrid.models.counts import (
     coefficient_table,
     count_log_likelihoods,
@@ -36,6 +36,8 @@ from tidegrid.models.design import (
 )
 from tidegrid.models.trees import (
     TUNING_GRID,
+    TreeFeatures,
+    fit_gbt,
     fit_tuned,
     permutation_importance,
     permute_columns,
@@ -303,10 +305,47 @@ def typical(spark, sf_dir):
 def gbt(spark, sf_dir):
     """The value model against last week's value, on common and on full support."""
     _, test = _values(spark, sf_dir)
-    scored = predict_value(_trees(spark, sf_dir), forecasts.TREES, test, "pred_value")
+    scored = predict_value(_trees(spark, sf_dir), test, "pred_value")
     return rounded(score_common(scored, "mean_value", "pred_value", "value_lag_168h"))
 
 
+@query(
+    "gbt_single_split",
+    f"""WITH {HOURS}, r AS (SELECT hour, CAST(day(date) AS INTEGER) AS day, mean_value AS y FROM hours WHERE mean_value IS NOT NULL),
+    long AS (SELECT 'hour' AS feature, hour AS x, y FROM r UNION ALL SELECT 'day', day, y FROM r),
+    tried AS (SELECT a.feature, c.x AS threshold, count(*) FILTER (a.x <= c.x) AS n_left, count(*) FILTER (a.x > c.x) AS n_right,
+        sum(y) FILTER (a.x <= c.x) AS left_sum, sum(y) FILTER (a.x > c.x) AS right_sum
+      FROM long a JOIN (SELECT DISTINCT feature, x FROM long) c ON c.feature = a.feature GROUP BY 1, 2),
+    best AS (SELECT * FROM tried WHERE n_left >= 20 AND n_right >= 20
+      ORDER BY left_sum * left_sum / n_left + right_sum * right_sum / n_right DESC LIMIT 1)
+    SELECT feature, threshold, n_left AS n, round(left_sum / n_left, 6) AS value, true AS below FROM best
+    UNION ALL SELECT feature, threshold, n_right, round(right_sum / n_right, 6), false FROM best""",
+)
+def single_split(spark, sf_dir):
+    """One tree of one split, whole step: the threshold that lowers the squared error most, and the means of its sides."""
+    rows = entity_hours(spark, sf_dir).where(F.col("mean_value").isNotNull()).select("hour", F.dayofmonth("date").alias("day"), "mean_value")
+    rows = stage(rows)
+    features = TreeFeatures(numeric=("hour", "day"))
+    model = fit_gbt(rows, features, "mean_value", {"step": 1.0, "leaves": 2, "rounds": 1})
+    tree = model.trees[0]
+    name = features.sources[tree.feature[0]]
+    scored = predict_value(model, rows, "value").withColumn("feature", F.lit(name)).withColumn("x", F.col(name))
+    sides = scored.groupBy("feature", "value").agg(F.count("*").alias("n"), F.max("x").alias("high"))
+    low = sides.agg(F.min("high")).head()[0]
+    return rounded(sides.select("feature", F.lit(low).alias("threshold"), "n", "value", (F.col("high") == low).alias("below")))
+
+
+@query(
+    "gbt_constant",
+    f"WITH {HOURS} SELECT entity, count(*) AS n, 7.5::DOUBLE AS low, 7.5::DOUBLE AS high FROM hours GROUP BY entity",
+)
+def constant(spark, sf_dir):
+    """A target without variation is predicted as it is, whatever the features."""
+    rows = stage(entity_hours(spark, sf_dir).select("hour", "entity", "n_events", F.lit(7.5).alias("y")))
+    model = fit_gbt(rows, TreeFeatures(numeric=("hour", "n_events"), categorical=("entity",)), "y", {"step": 0.1, "leaves": 15, "rounds": 5})
+    return predict_value(model, rows, "p").groupBy("entity").agg(F.count("*").alias("n"), F.min("p").alias("low"), F.max("p").alias("high"))
+
+
 @query("gbt_tuned")
 def tuned(spark, sf_dir):
     return rounded(_tuned(spark, sf_dir))
@@ -328,10 +367,8 @@ def weighted(spark, sf_dir):
     fits = _counts(spark, sf_dir)
     counts = fits.scored(fits.study.test).select("date", "hour", "entity", "pred_n")
     _, test = _values(spark, sf_dir)
-    plain = predict_value(_trees(spark, sf_dir), forecasts.TREES, test, "pred_plain")
-    both = predict_value(
-        _trees(spark, sf_dir, "n_events"), forecasts.TREES, plain, "pred_weighted"
-    )
+    plain = predict_value(_trees(spark, sf_dir), test, "pred_plain")
+    both = predict_value(_trees(spark, sf_dir, "n_events"), plain, "pred_weighted")
     scored = both.join(counts, on=["date", "hour", "entity"])
     return rounded(
         weighting_comparison(
@@ -346,7 +383,6 @@ def combined(spark, sf_dir):
     fits = _counts(spark, sf_dir)
     scored = predict_value(
         _trees(spark, sf_dir),
-        forecasts.TREES,
         fits.scored(fits.study.test).drop("features"),
         "pred_value",
     )
@@ -361,17 +397,7 @@ def combined(spark, sf_dir):
 def _importance(spark, sf_dir, blocks):
     _, test = _values(spark, sf_dir)
     model = _trees(spark, sf_dir)
-    columns = ["date", "hour", "entity", "mean_value", *forecasts.TREES.sources]
-    rows = stage(test.select(*dict.fromkeys(columns)))
-    return rounded(
-        permutation_importance(
-            rows,
-            lambda df: predict_value(model, forecasts.TREES, df, "prediction"),
-            "mean_value",
-            ["date", "hour", "entity"],
-            blocks,
-        )
-    )
+    return rounded(permutation_importance(test, model, "mean_value", ["date", "hour", "entity"], blocks))
 
 
 @query("permutation_importance")

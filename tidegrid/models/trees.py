@@ -1,119 +1,45 @@
-"""Boosted trees for the value: missing markers, forward tuning and permutation importance."""
+"""Boosted trees for the value: forward tuning, refit and permutation importance."""
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
+from collections.abc import Iterable, Iterator, Mapping, Sequence
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import StringIndexer, VectorAssembler
-from pyspark.ml.regression import GBTRegressor
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tidegrid.sources.staging import ensure_checkpoint_dir
+from tidegrid.models.boosting import Ensemble, Setting, TreeFeatures, binned, fit_ensembles, matrix, predict
+from tidegrid.sources.staging import stage
 
-# Six settings of learning rate, depth and rounds. Depths 4, 5 and 6 stand for 15, 31 and 63 leaves.
+__all__ = ["TUNING_GRID", "TreeFeatures", "fit_gbt", "fit_tuned", "permutation_importance", "permute_columns", "predict_value", "tune_forward"]
+
+# Six settings of learning rate, leaves and rounds.
 TUNING_GRID = (
-    {"stepSize": 0.05, "maxDepth": 4, "maxIter": 300},
-    {"stepSize": 0.05, "maxDepth": 5, "maxIter": 300},
-    {"stepSize": 0.05, "maxDepth": 5, "maxIter": 600},
-    {"stepSize": 0.10, "maxDepth": 4, "maxIter": 200},
-    {"stepSize": 0.10, "maxDepth": 5, "maxIter": 200},
-    {"stepSize": 0.10, "maxDepth": 6, "maxIter": 200},
+    {"step": 0.05, "leaves": 15, "rounds": 300},
+    {"step": 0.05, "leaves": 31, "rounds": 300},
+    {"step": 0.05, "leaves": 31, "rounds": 600},
+    {"step": 0.10, "leaves": 15, "rounds": 200},
+    {"step": 0.10, "leaves": 31, "rounds": 200},
+    {"step": 0.10, "leaves": 63, "rounds": 200},
 )
-MISSING = -1.0e9
 SEED = 42
+#: Rounds of the keyed bijection, and the steps it may take to come back into its range.
+FEISTEL_ROUNDS = 6
+WALK = 64
 
 
-@dataclass(frozen=True)
-class TreeFeatures:
-    """Feature lists of a tree model; ``nullable`` columns get a 0/1 missing marker.
+def fit_gbt(df: DataFrame, features: TreeFeatures, label: str, params: Mapping[str, float], weight: str | None = None) -> Ensemble:
+    """Boosted regression trees on raw features; missing values get a side of their own in every split.
 
-    Only ``categorical`` columns are split as sets, whatever the number of distinct values: their
-    levels are frozen in training and an unseen one is an error. All others stay ordered numbers.
+    ``weight`` fits the same trees to an exposure-weighted squared error.
     """
+    return fit_ensembles(df, features, label, [Setting.of(params)], weight)[0]
 
-    numeric: tuple[str, ...]
-    booleans: tuple[str, ...] = ()
-    categorical: tuple[str, ...] = ()
-    nullable: tuple[str, ...] = ()
-
-    @property
-    def inputs(self) -> list[str]:
-        return [
-            *[f"_n_{c}" for c in self.numeric],
-            *[f"_b_{c}" for c in self.booleans],
-            *[f"_i_{c}" for c in self.categorical],
-            *[f"_m_{c}" for c in self.nullable],
-        ]
-
-    @property
-    def sources(self) -> list[str]:
-        """Source columns read to build the vector."""
-        return [*self.numeric, *self.booleans, *self.categorical]
-
-    def prepare(self, df: DataFrame) -> DataFrame:
-        """A value below every observation stands for missing, beside its marker."""
-        below = F.lit(MISSING)
-        return df.select(
-            *df.columns,
-            *[F.coalesce(F.col(c).cast("double"), below).alias(f"_n_{c}") for c in self.numeric],
-            *[F.coalesce(F.col(c).cast("double"), below).alias(f"_b_{c}") for c in self.booleans],
-            *[F.col(c).isNull().cast("double").alias(f"_m_{c}") for c in self.nullable],
-            *[F.col(c).cast("string").alias(f"_c_{c}") for c in self.categorical],
-        )
-
-    def stages(self) -> list:
-        """Estimators from prepared columns to one vector; it carries which features are sets."""
-        assembler = VectorAssembler(inputCols=self.inputs, outputCol="_features")
-        if not self.categorical:
-            return [assembler]
-        indexer = StringIndexer(
-            inputCols=[f"_c_{c}" for c in self.categorical],
-            outputCols=[f"_i_{c}" for c in self.categorical],
-            handleInvalid="error",
-            stringOrderType="alphabetAsc",
-        )
-        return [indexer, assembler]
 
-    def helpers(self) -> list[str]:
-        return [*self.inputs, *[f"_c_{c}" for c in self.categorical], "_features"]
-
-
-def fit_gbt(
-    df: DataFrame,
-    features: TreeFeatures,
-    label: str,
-    params: Mapping[str, float],
-    weight: str | None = None,
-    seed: int = SEED,
-) -> PipelineModel:
-    """Boosted regression trees; categorical indices are split as sets, not magnitudes.
-
-    ``weight`` fits the same trees to an exposure-weighted squared error. Node assignments are
-    checkpointed every ten rounds, so a lost executor does not replay the whole ensemble.
-    """
-    ensure_checkpoint_dir(df.sparkSession)
-    booster = GBTRegressor(
-        featuresCol="_features",
-        labelCol=label,
-        predictionCol="prediction",
-        seed=seed,
-        cacheNodeIds=True,
-        checkpointInterval=10,
-        **dict(params),
-    )
-    if weight is not None:
-        booster = booster.setWeightCol(weight)
-    train = features.prepare(df.where(F.col(label).isNotNull()))
-    return Pipeline(stages=[*features.stages(), booster]).fit(train)
-
-
-def predict_value(model: PipelineModel, features: TreeFeatures, df: DataFrame, name: str) -> DataFrame:
-    scored = model.transform(features.prepare(df))
-    return scored.withColumnRenamed("prediction", name).drop(*features.helpers())
+def predict_value(model: Ensemble, df: DataFrame, name: str) -> DataFrame:
+    return predict(df, {name: (model, None)})
 
 
 def tune_forward(
@@ -127,40 +53,32 @@ def tune_forward(
     """Validation errors of every setting, fitted before the cut and scored from it on.
 
     One row per setting with its rank. Settings that differ in rounds only share the longest fit,
-    whose error after every round is known. Only the errors are collected.
+    whose first rounds are the shorter one. All are scored in one pass; only errors are collected.
     """
     cut_date = F.lit(cut).cast("date")
-    inner, later = df.where(F.col(date) < cut_date), df.where(F.col(date) >= cut_date)
-    later = later.where(F.col(label).isNotNull())
-    n = later.count()
-    longest: dict[tuple[float, int], int] = {}
-    for params in grid:
-        kind = (float(params["stepSize"]), int(params["maxDepth"]))
-        longest[kind] = max(longest.get(kind, 0), int(params["maxIter"]))
-    errors = {}
-    for (step, depth), rounds in longest.items():
-        model = fit_gbt(inner, features, label, {"stepSize": step, "maxDepth": depth, "maxIter": rounds})
-        *before, trees = model.stages
-        told = features.prepare(later)
-        for stage in before:
-            told = stage.transform(told)
-        errors[step, depth] = trees.evaluateEachIteration(told, "squared")
-    rows = []
-    for params in grid:
-        step, depth, rounds = float(params["stepSize"]), int(params["maxDepth"]), int(params["maxIter"])
-        rows.append((step, depth, rounds, n, errors[step, depth][rounds - 1] ** 0.5))
-    rows.sort(key=lambda r: (r[4], r[2], r[1]))
+    inner, later = df.where(F.col(date) < cut_date), df.where((F.col(date) >= cut_date) & F.col(label).isNotNull())
+    settings = [Setting.of(params) for params in grid]
+    longest: dict[tuple[float, int], Setting] = {}
+    for s in settings:
+        kind = (s.step, s.leaves)
+        if kind not in longest or longest[kind].rounds < s.rounds:
+            longest[kind] = s
+    models = dict(zip(longest, fit_ensembles(inner, features, label, list(longest.values())), strict=True))
+    scored = predict(later, {f"_p{i}": (models[s.step, s.leaves], s.rounds) for i, s in enumerate(settings)})
+    errors = [F.sqrt(F.avg((F.col(label) - F.col(f"_p{i}")) ** 2)).alias(f"e{i}") for i in range(len(settings))]
+    told = scored.agg(F.count("*").alias("n"), *errors).head()
+    rows = [(s.step, s.leaves, s.rounds, told["n"], told[f"e{i}"]) for i, s in enumerate(settings)]
+    rows.sort(key=lambda r: (r[4] is None, r[4], r[2], r[1]))
     return df.sparkSession.createDataFrame(
         [(i, *r) for i, r in enumerate(rows, start=1)],
-        "position int, step_size double, max_depth int, rounds int, n long, valid_rmse double",
+        "position int, step_size double, max_leaves int, rounds int, n long, valid_rmse double",
     )
 
 
-def fit_tuned(df: DataFrame, tuned: DataFrame, features: TreeFeatures, label: str, weight: str | None = None) -> PipelineModel:
+def fit_tuned(df: DataFrame, tuned: DataFrame, features: TreeFeatures, label: str, weight: str | None = None) -> Ensemble:
     """The first setting of a tuning table, fitted again on all rows."""
     best = tuned.where("position = 1").head()
-    params = {"stepSize": best["step_size"], "maxDepth": best["max_depth"], "maxIter": best["rounds"]}
-    return fit_gbt(df, features, label, params, weight=weight)
+    return fit_gbt(df, features, label, {"step": best["step_size"], "leaves": best["max_leaves"], "rounds": best["rounds"]}, weight)
 
 
 def unseen_periods(train: DataFrame, valid: DataFrame, period: str) -> DataFrame:
@@ -194,21 +112,46 @@ def _hash_rank(df: DataFrame, keys: Sequence[str], seed: int, name: str, bits: i
     )
 
 
+def permuted_number(number: Column, n: int, seed: Column) -> Column:
+    """A keyed bijection of 0..n-1: a Feistel network over two digits, walked until it is in range.
+
+    The digits' bases multiply to little more than n, so a walk is out of range about once in the
+    square root of n steps, and never longer than it has numbers outside.
+    """
+    high = max(1, int(np.ceil(np.sqrt(max(n, 1)))))
+    low = max(1, -(-max(n, 1) // high))
+    seed = seed.cast("long")
+
+    def turned(x: Column) -> Column:
+        first = F.struct((x / low).cast("long").alias("h"), (x % low).alias("l"))
+
+        def half(pair: Column, k: Column) -> Column:
+            up = (pair["h"] + F.pmod(F.xxhash64(pair["l"], k, seed), F.lit(high))) % high
+            down = (pair["l"] + F.pmod(F.xxhash64(pair["h"], k, seed), F.lit(low))) % low
+            even = k % 2 == 0
+            return F.struct(F.when(even, up).otherwise(pair["h"]).alias("h"), F.when(even, pair["l"]).otherwise(down).alias("l"))
+
+        return F.aggregate(F.sequence(F.lit(0), F.lit(FEISTEL_ROUNDS - 1)), first, half, lambda pair: pair["h"] * low + pair["l"])
+
+    walked = F.sequence(F.lit(1), F.lit(WALK))
+    return F.aggregate(walked, turned(number.cast("long")), lambda x, _: F.when(x < n, x).otherwise(turned(x)))
+
+
 def permute_columns(df: DataFrame, keys: Sequence[str], columns: Sequence[str], seed: int) -> DataFrame:
     """Move a block of columns together to other rows by a seeded permutation of the rows.
 
-    Rows are numbered in two hash orders of their unique key, and the block of one numbering is
-    joined to the rows of the other: every value is used exactly once.
+    Rows are numbered once in a hash order of their unique key; the block of a row goes to the row
+    whose number its own is mapped to by a bijection, so every value is used exactly once.
     """
-    kept = [c for c in df.columns if c not in columns]
-    rows = _hash_rank(df.select(*kept), keys, seed, "_i")
-    block = _hash_rank(df.select(*keys, *columns), keys, seed + 1_000_003, "_i")
-    return rows.join(block.select("_i", *columns), on="_i").select(*df.columns)
+    rows = stage(_hash_rank(df, keys, seed, "_i"))
+    n = rows.count()
+    block = rows.select(permuted_number(F.col("_i") - 1, n, F.lit(seed)).alias("_i"), *columns)
+    return rows.drop(*columns).withColumn("_i", F.col("_i") - 1).join(block, on="_i").select(*df.columns)
 
 
 def permutation_importance(
     df: DataFrame,
-    score,
+    model: Ensemble,
     label: str,
     keys: Sequence[str],
     blocks: Mapping[str, Sequence[str]],
@@ -217,30 +160,40 @@ def permutation_importance(
 ) -> DataFrame:
     """Mean and deviation of the RMSE increase when each block of columns is permuted.
 
-    ``score`` maps a frame to one with a ``prediction`` column. A block of one column is the
-    plain importance; collinear columns belong in one block, or each looks irrelevant because
-    the others give it back.
+    Rows are coded and numbered once. In every repeat a row meets the codes of one other row, told by
+    a keyed bijection of its number, in one equi-join for all repeats; every block is then scored in
+    place, and only sums of squares leave the tasks. A block of one column is the plain importance;
+    collinear columns belong in one block, or each looks irrelevant because the others give it back.
     """
-
-    miss = F.col(label) - F.col("prediction")
-    rmse = F.sqrt(F.avg(miss * miss))
-    base = score(df).agg(rmse).scalar()
-    columns = list(dict.fromkeys(c for block in blocks.values() for c in block))
-    runs = None
-    for repeat in range(repeats):
-        # one numbering of the rows serves all blocks, and one pass scores them
-        rows = _hash_rank(df, keys, seed + repeat, "_i")
-        other = _hash_rank(df.select(*keys, *columns), keys, seed + repeat + 1_000_003, "_i")
-        met = rows.join(other.select("_i", *[F.col(c).alias(f"_p_{c}") for c in columns]), on="_i")
-        each = met.withColumn("_block", F.explode(F.array(*[F.lit(b) for b in blocks])))
-
-        def held(c: str) -> Column:
-            mine = [b for b, members in blocks.items() if c in members]
-            return F.when(F.col("_block").isin(*mine), F.col(f"_p_{c}")).otherwise(F.col(c)).alias(c)
-
-        shuffled = each.select("_block", *[held(c) if c in columns else F.col(c) for c in df.columns])
-        run = score(shuffled).groupBy(F.col("_block").alias("block")).agg((rmse - F.lit(base)).alias("_d"))
-        runs = run if runs is None else runs.unionByName(run)
+    features = model.bins.features
+    width, names = len(features.sources), list(blocks)
+    places = [[features.sources.index(c) for c in blocks[name]] for name in names]
+    numbered = _hash_rank(df.where(F.col(label).isNotNull()), keys, seed, "_i")
+    # the number travels as the weight: it is positive
+    rows = stage(binned(numbered, model.bins, label, "_i").select("code", "label", (F.col("weight").cast("long") - 1).alias("i")))
+    n = rows.count()
+    each = rows.withColumn("repeat", F.explode(F.sequence(F.lit(0), F.lit(repeats - 1))))
+    other = each.select("repeat", permuted_number(F.col("i"), n, F.lit(seed) + F.col("repeat")).alias("i"), F.col("code").alias("other"))
+    met = each.join(other, ["repeat", "i"]).select("code", "other", "label", "repeat")
+    shared = df.sparkSession.sparkContext.broadcast(model)
+
+    def scored(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((len(names) + 1, repeats))
+        for batch in batches:
+            codes, others = matrix(batch.column(0), width), matrix(batch.column(1), width)
+            y, repeat = batch.column(2).to_numpy(), batch.column(3).to_numpy()
+            for b, place in enumerate([[], *places]):
+                mixed = codes.copy()
+                mixed[:, place] = others[:, place]
+                total[b] += np.bincount(repeat, weights=(y - shared.value.predict(mixed)) ** 2, minlength=repeats)
+        b, repeat = np.divmod(np.arange(total.size), repeats)
+        yield pa.RecordBatch.from_arrays([pa.array(b), pa.array(repeat), pa.array(total.reshape(-1))], ["b", "repeat", "squares"])
+
+    sums = met.mapInArrow(scored, "b long, repeat long, squares double").groupBy("b", "repeat").agg(F.sqrt(F.sum("squares") / n).alias("rmse"))
+    base = sums.where("b = 0").select("repeat", F.col("rmse").alias("base"))
+    named = F.element_at(F.array(*[F.lit(name) for name in names]), F.col("b").cast("int"))
+    # as many rows as blocks times repeats
+    runs = sums.where("b > 0").join(F.broadcast(base), "repeat").select(named.alias("block"), (F.col("rmse") - F.col("base")).alias("_d"))
     return runs.groupBy("block").agg(
         F.avg("_d").alias("rmse_increase"), F.stddev_pop("_d").alias("sd"), F.count("*").alias("repeats")
     )

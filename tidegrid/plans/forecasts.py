@@ -39,7 +39,6 @@ TREES = TreeFeatures(
     numeric=("hour", *[c.name for c in TREE_NUMBERS]),
     booleans=tuple(BOOLEANS),
     categorical=tuple(c.name for c in features(DECLARED, "level")),
-    nullable=tuple(c.name for c in TREE_NUMBERS if c.null),
 )
 
 
