@@ -7,7 +7,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from tidegrid.operators.order_stats import average_rank, exact_quantiles, value_counts
+from tidegrid.operators.order_stats import average_rank, bracketed_counts, exact_quantiles, value_counts
 from tidegrid.operators.profile import (
     dispersion_summary,
     distribution_flags,
@@ -125,3 +125,36 @@ def test_dispersion_median(spark):
     cells = spark.createDataFrame([("A", 1.0), ("A", 2.0), ("A", 4.0), ("A", None)], "e string, dispersion double")
     row = dispersion_summary(cells, ["e"]).head()
     assert (row["median_dispersion"], row["overdispersed_cells"], row["cells"]) == (2.0, 2, 4)
+
+
+@pytest.mark.parametrize("accuracy", [100, 10_000])
+def test_bracketed_quantiles_are_exact_and_few_values_are_ordered(spark, accuracy):
+    rng = np.random.default_rng(accuracy)
+    n = 60_000
+    values = rng.lognormal(size=n)
+    values[: n // 3] = 1.25  # a hot value
+    frame = pd.DataFrame({"v": values, "w": -rng.permutation(n) * 1.0, "s": rng.random(n) < 0.1})
+    df = spark.createDataFrame(frame).repartition(7).cache()
+    probs = [0.0, 0.01, 0.25, 0.5, 0.75, 0.99, 0.999, 1.0]
+    metrics = {"v": F.col("v"), "w": F.col("w")}
+    segments = {"all": F.lit(True), "some": F.col("s"), "none": F.lit(None).cast("boolean")}
+    counts = bracketed_counts(df, metrics, probs, segments, accuracy).cache()
+    if accuracy == 100:
+        # of the 60,000 values of w, those inside 8 + 8 brackets of 8 errors at most
+        assert counts.where("metric = 'w' AND segment = 'all'").count() < 0.75 * n
+        one = bracketed_counts(df, {"w": F.col("w")}, [0.5], accuracy=1000)
+        assert one.count() < 0.02 * n and one.agg(F.sum("n")).head()[0] == n
+    for interpolate in (False, True):
+        got = {(r["segment"], r["metric"], r["prob"]): r["quantile"] for r in exact_quantiles(counts, ["segment", "metric"], probs, interpolate, True).collect()}
+        assert len(got) == 2 * 2 * len(probs)
+        for segment, rows in (("all", frame), ("some", frame[frame.s])):
+            for m in "vw":
+                told = np.quantile(rows[m], probs, method="linear" if interpolate else "inverted_cdf")
+                assert [got[segment, m, p] for p in probs] == pytest.approx(list(told), rel=1e-12)
+
+
+def test_bracketed_counts_of_odd_columns(spark):
+    df = spark.createDataFrame([(None,), (float("nan"),), (3.0,), (float("inf"),), (-0.0,)], "v double")
+    got = {r["prob"]: r["quantile"] for r in exact_quantiles(bracketed_counts(df, {"v": F.col("v")}, [0.0, 0.5, 1.0]), ["metric"], [0.0, 0.5, 1.0]).collect()}
+    assert got == {0.0: 0.0, 0.5: 3.0, 1.0: float("inf")}
+    assert bracketed_counts(df.limit(0), {"v": F.col("v")}, [0.5]).count() == 0

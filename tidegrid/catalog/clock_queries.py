@@ -8,7 +8,7 @@ from tidegrid.catalog.registry import GRID, LEGS, query, rounded
 from tidegrid.functions.clock import dst_kind, hhmm_hour, hhmm_minutes, utc_to_local, valid_hhmm
 from tidegrid.functions.columns import share, tally
 from tidegrid.operators.gaps import collapse_duplicates
-from tidegrid.operators.order_stats import exact_quantiles, quantile_columns, value_counts
+from tidegrid.operators.order_stats import bracketed_counts, exact_quantiles, quantile_columns
 from tidegrid.operators.rules import apply_rules, edge_report, rule_waterfall, status_counts
 from tidegrid.plans import clocked, study
 
@@ -65,7 +65,7 @@ def hhmm_validity(spark, sf_dir):
 def clock_diagnostics(spark, sf_dir):
     legs = clocked.keyed_legs(spark, sf_dir).where(valid_hhmm("arr_hhmm") & valid_hhmm("dep_hhmm"))
     block = clocked.block_minutes()
-    counts = value_counts(legs, {"block": block})
+    counts = bracketed_counts(legs, {"block": block}, [0.5])
     median = quantile_columns(
         exact_quantiles(counts, ["metric"], [0.5], fixed_groups=True), ["metric"], {"median_block": 0.5}
     ).select("median_block")

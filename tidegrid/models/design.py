@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidegrid.operators.contracts import null_counts, require_empty
-from tidegrid.operators.order_stats import exact_quantiles, value_counts
+from tidegrid.operators.order_stats import bracketed_counts, exact_quantiles
 
 
 @dataclass(frozen=True)
@@ -28,7 +28,7 @@ class Fill:
 
 def train_medians(train: DataFrame, columns: Sequence[str]) -> DataFrame:
     """``(column_name, median)`` of the training rows, exact and interpolated."""
-    counts = value_counts(train, {c: F.col(c) for c in columns})
+    counts = bracketed_counts(train, {c: F.col(c) for c in columns}, [0.5])
     medians = exact_quantiles(counts, ["metric"], [0.5], interpolate=True, fixed_groups=True)
     return medians.select(F.col("metric").alias("column_name"), F.col("quantile").alias("median"))
 

@@ -13,7 +13,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidegrid.functions.columns import tally
-from tidegrid.operators.order_stats import exact_quantiles, quantile_columns, value_counts
+from tidegrid.operators.order_stats import bracketed_counts, exact_quantiles, quantile_columns
 
 
 def carry_forward(
@@ -111,7 +111,7 @@ def spread_check(
         F.avg("spread").alias("mean_spread"),
         F.max("spread").alias("max_spread"),
     )
-    counts = value_counts(spread, {"spread": F.col("spread")})
+    counts = bracketed_counts(spread, {"spread": F.col("spread")}, [prob])
     quantile = quantile_columns(
         exact_quantiles(counts, ["metric"], [prob], fixed_groups=True), ["metric"], {"high_spread": prob}
     )

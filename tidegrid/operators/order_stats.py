@@ -1,7 +1,9 @@
 """Exact ranks and quantiles without gathering a group in one task.
 
 Rows collapse to one per distinct value, values fall into order-preserving buckets, bucket
-totals give offsets, and only inside a bucket are values ordered. Nothing here is a sketch.
+totals give offsets, and only inside a bucket are values ordered. Where the groups are listed in
+code, a mergeable sketch brackets every wanted rank first, and only values inside a bracket keep
+a row of their own; the quantiles stay exact.
 """
 
 from __future__ import annotations
@@ -18,6 +20,10 @@ _BUCKETS_PER_LOG_UNIT = 256
 _LOG_SHIFT = 200_000
 _LARGEST_LOG = 710.0
 _SUB_BUCKETS = 1024
+#: Accuracy of the bracketing sketch: its ranks are off by at most 1 / ACCURACY of the rows.
+ACCURACY = 10_000
+#: Width of a bracket on either side of a rank, in errors of the sketch.
+_MARGIN = 4
 
 
 def value_counts(
@@ -51,6 +57,66 @@ def value_counts(
     return wide.select(*by, "metric", "value", F.inline(rows)).where(F.col("n") > 0)
 
 
+def bracketed_counts(
+    df: DataFrame,
+    metrics: Mapping[str, Column],
+    probs: Sequence[float],
+    segments: Mapping[str, Column] | None = None,
+    accuracy: int = ACCURACY,
+) -> DataFrame:
+    """``value_counts`` for the quantiles ``probs``: ``([segment,] metric, value, n)``.
+
+    A first pass sketches where every wanted rank lies, give or take the error of the sketch. In the
+    second, values inside a bracket of their segment are counted one by one, and all others between
+    two brackets become one row of the largest of them: no wanted rank can be there. So about
+    ``2 x _MARGIN / accuracy`` of the distinct values and one row a bracket are shuffled, and
+    quantiles of the counts are those of the rows. Tables too small to be worth it keep all values.
+    """
+    masks = {"": F.lit(True)} if segments is None else segments
+    reach = _MARGIN / accuracy
+    shares = [x for p in probs for x in (max(p - reach, 0.0), min(p + reach, 1.0))]
+    measures, rows = [], []
+    for j, (metric, column) in enumerate(metrics.items()):
+        value = column.cast("double")
+        cuts = []
+        for i, mask in enumerate(masks.values()):
+            held = F.when(mask & ~F.isnan(value), value)
+            measures += [F.percentile_approx(held, shares, accuracy).alias(f"q{i}_{j}"), F.count(held).alias(f"n{i}_{j}")]
+            few = F.col(f"n{i}_{j}") * reach < 2 * _MARGIN
+            for k, p in enumerate(probs):
+                low, high = F.col(f"q{i}_{j}")[2 * k], F.col(f"q{i}_{j}")[2 * k + 1]
+                cuts.append(
+                    F.struct(
+                        F.lit(i + 1).alias("segment"),
+                        F.when(few | F.lit(p - reach <= 0), F.lit(float("-inf"))).otherwise(low).alias("low"),
+                        F.when(few | F.lit(p + reach >= 1), F.lit(float("inf"))).otherwise(high).alias("high"),
+                    )
+                )
+        rows.append(F.struct(F.lit(metric).alias("metric"), F.array(*cuts).alias("_cuts")))
+    brackets = df.agg(*measures).select(F.inline(F.array(*rows)))
+
+    names = list(masks)
+    pairs = F.array(*[F.struct(F.lit(m).alias("metric"), c.cast("double").alias("value")) for m, c in metrics.items()])
+    held = F.array(*[F.coalesce(masks[s], F.lit(False)) for s in names]).alias("_in")
+    flat = df.select(held, F.inline(pairs)).where(F.col("value").isNotNull() & ~F.isnan("value"))
+    # one row a metric listed in code
+    met = flat.join(F.broadcast(brackets), on="metric")
+    inside = F.exists(
+        "_cuts", lambda c: F.element_at("_in", c["segment"]) & (c["low"] <= F.col("value")) & (F.col("value") <= c["high"])
+    )
+    gap = F.size(F.filter("_cuts", lambda c: c["high"] < F.col("value")))
+    told = met.withColumn("_own", F.when(inside, F.col("value"))).withColumn("_gap", F.when(F.col("_own").isNull(), gap))
+    measures = []
+    for i in range(len(names)):
+        value = F.when(F.col("_in")[i], F.col("value"))
+        measures += [F.max(value).alias(f"_v_{i}"), F.count(value).alias(f"_n_{i}")]
+    wide = told.groupBy("metric", "_own", "_gap").agg(*measures)
+    if segments is None:
+        return wide.select("metric", F.col("_v_0").alias("value"), F.col("_n_0").alias("n"))
+    each = [F.struct(F.lit(s).alias("segment"), F.col(f"_v_{i}").alias("value"), F.col(f"_n_{i}").alias("n")) for i, s in enumerate(names)]
+    return wide.select("metric", F.inline(F.array(*each))).where(F.col("n") > 0)
+
+
 def _bucket(value: Column) -> Column:
     """Order-preserving bucket: the logarithm is monotone, so larger values never go lower."""
     log = F.least(F.ln(F.abs(value)), F.lit(_LARGEST_LOG))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tidegrid.functions.columns import bin_floor, tally
 from tidegrid.operators.order_stats import (
     average_rank,
+    bracketed_counts,
     exact_quantiles,
     quantile_columns,
     value_counts,
@@ -31,11 +32,11 @@ PERCENTILES = {
 def _moments(
     df: DataFrame, segments: Mapping[str, Column], metrics: Mapping[str, Column], extra
 ) -> DataFrame:
-    """``(segment, metric, n, mean, sd, skew, max, ...)`` with segments as masks, in one pass."""
+    """``(segment, metric, n, mean, sd, skew, max, ...)`` with segments as masks, in one pass; NaN is no value."""
     measures, rows = [], []
     for i, (segment, mask) in enumerate(segments.items()):
         for j, (metric, value) in enumerate(metrics.items()):
-            masked = F.when(mask, value)
+            masked = F.when(mask & ~F.isnan(value.cast("double")), value)
             cell = {
                 "n": F.count(masked),
                 "mean": F.avg(masked),
@@ -64,9 +65,8 @@ def distribution_summary(
 ) -> DataFrame:
     """Moments and percentiles of every metric in every segment, one row per pair.
 
-    Moments come from a single pass with fixed-size state. Percentiles are exact by default,
-    from counts per distinct value; with ``accuracy`` set they are sketched in the same pass,
-    which suits tables whose task count is small enough for one task to merge every sketch.
+    Moments come from a single pass with fixed-size state. Percentiles are exact by default, from
+    counts of the values that a sketch brackets; with ``accuracy`` set they are the sketch itself.
     """
     if accuracy is not None:
         probs = list(percentiles.values())
@@ -81,10 +81,9 @@ def distribution_summary(
             *[F.col("pct")[i].alias(name) for i, name in enumerate(percentiles)],
         )
     moments = _moments(df, segments, metrics, lambda x: {})
-    counts = value_counts(df, metrics, segments=segments)
-    quantiles = exact_quantiles(
-        counts, ["segment", "metric"], sorted(set(percentiles.values())), fixed_groups=True
-    )
+    probs = sorted(set(percentiles.values()))
+    counts = bracketed_counts(df, metrics, probs, segments)
+    quantiles = exact_quantiles(counts, ["segment", "metric"], probs, fixed_groups=True)
     wide = quantile_columns(quantiles, ["segment", "metric"], percentiles)
     return moments.join(wide, on=["segment", "metric"], how="left")
 
@@ -115,29 +114,34 @@ def tukey_fences(
 ) -> DataFrame:
     """Upper fence and the rows beyond it, per segment and metric.
 
-    Quartiles and exceedances both come from the counts per distinct value. The fences are one
-    row per listed segment and metric, so they are broadcast.
+    Quartiles come from bracketed counts. The fences are one row per listed segment and metric, so
+    they are broadcast to the rows, which are counted where they are.
     """
-    counts = value_counts(df, metrics, segments=segments)
     by = ["segment", "metric"]
+    counts = bracketed_counts(df, metrics, [0.25, 0.5, 0.75], segments)
     quartiles = quantile_columns(
         exact_quantiles(counts, by, [0.25, 0.5, 0.75], fixed_groups=True), by, {"p25": 0.25, "p50": 0.5, "p75": 0.75}
     )
     fences = fence_bounds(quartiles, k)
-    beyond = counts.join(F.broadcast(fences.select(*by, "upper_fence")), on=by).groupBy(*by).agg(
-        F.sum("n").alias("n"),
-        F.sum(F.when(F.col("value") > F.col("upper_fence"), F.col("n")).otherwise(0)).alias(
-            "n_above_fence"
-        ),
+    pairs = F.array(
+        *[
+            F.struct(F.lit(s).alias("segment"), F.lit(m).alias("metric"), F.when(mask, column.cast("double")).alias("value"))
+            for s, mask in segments.items()
+            for m, column in metrics.items()
+        ]
+    )
+    flat = df.select(F.inline(pairs)).where(F.col("value").isNotNull() & ~F.isnan("value"))
+    beyond = flat.join(F.broadcast(fences.select(*by, "upper_fence")), on=by).groupBy(*by).agg(
+        F.count("*").alias("n"), F.count_if(F.col("value") > F.col("upper_fence")).alias("n_above_fence")
     )
-    return fences.join(beyond, on=by).select(
+    return fences.join(F.broadcast(beyond), on=by).select(
         "*", (100.0 * F.col("n_above_fence") / F.col("n")).alias("pct_above_fence")
     )
 
 
 def upper_fence(df: DataFrame, value: Column, k: float = 1.5) -> Column:
     """The fence of one metric as a scalar subquery, usable in a filter on the same table."""
-    counts = value_counts(df, {"value": value})
+    counts = bracketed_counts(df, {"value": value}, [0.25, 0.75])
     quartiles = quantile_columns(
         exact_quantiles(counts, ["metric"], [0.25, 0.75], fixed_groups=True), ["metric"], {"p25": 0.25, "p75": 0.75}
     )
@@ -318,7 +322,7 @@ def quantile_bins(df: DataFrame, value: str, bins: int, name: str = "bin") -> Da
     below its value.
     """
     probs = [round(i / bins, 7) for i in range(bins + 1)]
-    counts = value_counts(df, {"v": F.col(value)})
+    counts = bracketed_counts(df, {"v": F.col(value)}, probs)
     edges = exact_quantiles(counts, ["metric"], probs, interpolate=True, fixed_groups=True)
     inner = edges.agg(F.array_sort(F.collect_set("quantile"))).scalar()
     return (
