@@ -7,12 +7,14 @@ and near one; they minimise
 
     1/2 sum_k (tokens_k(rates) / T - target_k)^2 + ridge / 2 sum_d (tokens_d / T) (rate_d - 1)^2
 
-At the least value, a rate is max(0, 1 - pull / ridge), where pull is the sum of posterior x residual
-over the domains. So one residual for each domain is sought, by Newton steps on the dual problem, until
-the residuals that the rates leave are those that made them to ``TOLERANCE``; that difference also bounds
-the projected gradient of every rate. Rare domains take no more steps than common ones. Documents of equal
-posterior (rounded to three decimals) have equal rates and are summed before; each step is one aggregate,
-and only sums over domains and pairs of domains reach the driver.
+with rates between 0 and ``most``. The rates are found by distributed projected gradient: a step moves
+every rate against its gradient, posterior x residual summed over the domains plus the pull to one, and
+projects it back between its bounds. The first step is one over the largest curvature (of the Gram
+matrix of the posteriors), the next ones come from the last two points (Barzilai and Borwein), and a step
+that leaves the value above the last ``REMEMBERED`` ones is shortened. Steps end when the largest projected
+gradient is within ``TOLERANCE``. Documents of equal posterior (rounded to three decimals) have equal
+rates and are summed before; a step is one aggregate over these cells, of which only sums over domains reach
+the driver. With ``most`` = 1 nothing is repeated: what is over its target is thinned, the rest stays.
 
 The classifier knows at most ``vocabulary`` words, those whose class shares differ most in a
 sample of at most ``sample`` labelled documents (the bound on fitting), so the table that is
@@ -42,7 +44,10 @@ VOCABULARY = 4096
 LEAST_DOCS = 5
 SHARPNESS = 4.0
 DECIMALS = 3
-STEPS = 100  # far more than are needed; a guard against an endless search
+STEPS = 1000  # far more than are needed; a guard against an endless search
+REMEMBERED = 10
+#: Steps that a plan repeats from the last staged rates.
+STAGE_EVERY = 25
 RIDGE = 0.001
 TOLERANCE = 1e-9
 
@@ -108,60 +113,84 @@ def posteriors(docs: DataFrame, words: DataFrame, log_priors: list[float], key:
     )
 
 
-def fit_rates(members: DataFrame, targets: list[float], steps: int = STEPS, ridge: float = RIDGE) -> DataFrame:
+def fit_rates(members: DataFrame, targets: list[float], steps: int = STEPS, ridge: float = RIDGE, most: float = math.inf) -> DataFrame:
     """``mix_p, mix_rate`` for each posterior that occurs."""
     k = len(targets)
-    cells = staged(members.groupBy("mix_p").agg(F.sum(F.col("mix_tokens") * F.col("mix_copies")).cast("double").alias("tokens")))
-    total = cells.agg(F.sum("tokens")).first()[0] or 0.0
+    grouped = members.groupBy("mix_p").agg(F.sum(F.col("mix_tokens") * F.col("mix_copies")).cast("double").alias("tokens"))
+    cells = staged(grouped.withColumn("start", F.lit(min(1.0, most))))
+    p = [F.col("mix_p")[i] for i in range(k)]
+    grams = [F.sum(F.col("tokens") * p[i] * p[j]).alias(f"s{i}_{j}") for i in range(k) for j in range(k)]
+    first = cells.agg(F.sum("tokens"), *grams).first()
+    total = first[0] or 0.0
     if not total:
         return cells.select("mix_p", F.lit(1.0).alias("mix_rate"))
-
-    def rates(pulls: np.ndarray) -> Column:
-        """The best rate of a cell where the residuals are ``pulls``."""
-        pull = sum(F.col("mix_p")[i] * F.lit(float(pulls[i])) for i in range(k))
-        return F.greatest(F.lit(0.0), 1 - pull / F.lit(ridge))
-
-    def told(pulls: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
-        """Value, gradient and curvature of the dual problem, from one aggregate over the cells."""
-        rated = cells.select("mix_p", F.col("tokens").alias("w"), rates(pulls).alias("rate"))
-        held = F.when(F.col("rate") > 0, F.col("w")).otherwise(0.0)
-        each = [F.sum(F.col("w") * F.col("rate") * F.col("rate"))]
-        each += [F.sum(F.col("w") * F.col("rate") * F.col("mix_p")[i]) for i in range(k)]
-        each += [F.sum(held * F.col("mix_p")[i] * F.col("mix_p")[j]) for i in range(k) for j in range(k)]
-        sums = np.array(rated.agg(*[e.alias(f"s{i}") for i, e in enumerate(each)]).first()) / total
-        value = pulls @ pulls / 2 + pulls @ wanted + ridge / 2 * sums[0]
-        return value, pulls + wanted - sums[1 : k + 1], np.eye(k) + sums[k + 1 :].reshape(k, k) / ridge
-
     wanted = np.array(targets, dtype=float)
-    pulls = np.zeros(k)
-    value, slope, curve = told(pulls)
+
+    def moved(rate: Column, pace: Column | float, missed) -> Column:
+        slope = sum(p[i] * missed[i] for i in range(k)) + ridge * (rate - 1)
+        free = F.greatest(F.lit(0.0), rate - pace * slope)
+        return free if math.isinf(most) else F.least(F.lit(most), free)
+
+    def folded(taken: list[tuple[float, np.ndarray]]) -> Column:
+        """The rates after these steps, (pace, residuals) each, from the staged ones."""
+        if not taken:
+            return F.col("start")
+        told = F.array(*[F.struct(F.lit(float(a)).alias("a"), *[F.lit(float(g)).alias(f"g{i}") for i, g in enumerate(r)]) for a, r in taken])
+        return F.aggregate(told, F.col("start"), lambda rate, s: moved(rate, s["a"], [s[f"g{i}"] for i in range(k)]))
+
+    def told(taken: list[tuple[float, np.ndarray]], missed: np.ndarray, pace: float) -> tuple[np.ndarray, float, float, float]:
+        """After one more step: residuals, value, its squared length; and the projected gradient before it."""
+        held = cells.select("mix_p", (F.col("tokens") / total).alias("w"), folded(taken).alias("old"))
+        numbers = [F.lit(float(g)) for g in missed]
+        both = held.select("*", moved(F.col("old"), pace, numbers).alias("new"), moved(F.col("old"), 1.0, numbers).alias("whole"))
+        shares = [F.sum(F.col("w") * F.col("new") * p[i]) for i in range(k)]
+        more = [F.sum(F.col("w") * (F.col("new") - c) * (F.col("new") - c)) for c in (F.lit(1.0), F.col("old"))]
+        row = both.agg(*shares, *more, F.max(F.abs(F.col("whole") - F.col("old")))).first()
+        after = np.array(row[:k]) - wanted
+        return after, float(after @ after) / 2 + ridge / 2 * row[k], row[k + 1], row[k + 2]
+
+    curves = np.array(first[1:]).reshape(k, k) / total
+    pace = 1.0 / (float(np.linalg.eigvalsh(curves).max()) + ridge)
+    missed, value, _, _ = told([], np.zeros(k), 0.0)
+    taken: list[tuple[float, np.ndarray]] = []
+    recent = [value]
     for _ in range(steps):
-        if np.abs(slope).max() <= TOLERANCE:
+        after, value, length, projected = told(taken, missed, pace)
+        if projected <= TOLERANCE:
             break
-        way, pace = -np.linalg.solve(curve, slope), 1.0
-        while True:
-            ahead = told(pulls + pace * way)
-            # values are sums over the corpus, so they are compared up to rounding
-            if ahead[0] <= value + pace * (way @ slope) / 4 + 1e-12 * (1 + abs(value)) or pace < 1e-6:
-                break
-            pace /= 2
-        pulls = pulls + pace * way
-        value, slope, curve = ahead
-    return staged(cells.select("mix_p", rates(pulls).alias("mix_rate")))
+        # values are sums over the corpus, so they are compared up to rounding
+        if value > max(recent) + 1e-12 * (1 + max(recent)):
+            pace /= 4
+            continue
+        taken.append((pace, missed))
+        bent = float((after - missed) @ (after - missed)) + ridge * length
+        pace = min(max(length / bent, 1e-3), 1 / ridge) if bent > 0 else 1 / ridge
+        missed, recent = after, [*recent, value][-REMEMBERED:]
+        if len(taken) == STAGE_EVERY:
+            cells, taken = staged(cells.select("mix_p", "tokens", folded(taken).alias("start"))), []
+    return staged(cells.select("mix_p", folded(taken).alias("mix_rate")))
 
 
 def mixing_rates(
-    docs: DataFrame, labelled: DataFrame, targets: dict[str, float], key: str = "doc_id", text: str = "text", sample: int = SAMPLE, vocabulary: int = VOCABULARY
+    docs: DataFrame,
+    labelled: DataFrame,
+    targets: dict[str, float],
+    key: str = "doc_id",
+    text: str = "text",
+    sample: int = SAMPLE,
+    vocabulary: int = VOCABULARY,
+    most: float = math.inf,
 ) -> DataFrame:
     """``key, mix_text, mix_copies, mix_tokens, mix_p, mix_rate`` for each key and text.
 
-    ``labelled`` has the key and ``domain``; ``targets`` are the wanted shares of tokens by domain.
+    ``labelled`` has the key and ``domain``; ``targets`` are the wanted shares of tokens by domain;
+    no rate is above ``most``.
     """
     domains = sorted(targets)
     whole = sum(targets.values())
     words, log_priors = fit_words(docs, labelled, domains, key, text, sample, vocabulary)
     members = staged(posteriors(docs, words, log_priors, key, text))
-    rates = fit_rates(members, [targets[d] / whole for d in domains])
+    rates = fit_rates(members, [targets[d] / whole for d in domains], most=most)
     return members.join(rates, "mix_p")
 
 
