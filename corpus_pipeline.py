@@ -46,8 +46,8 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as their rates say, so that domains come near their target shares."""
-    return mix(docs, mixing_rates(docs, domains(table(spark, sf_dir, "labels")), TARGETS))
+    """Documents of domains over their target share thinned to it; nothing comes twice."""
+    return mix(docs, mixing_rates(docs, domains(table(spark, sf_dir, "labels")), TARGETS, most=1.0))
 
 
 def sharding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
