@@ -7,7 +7,9 @@ is in links. The element with the most points is the container; it grows to its
 parent is an article or main element, and siblings with a fair part of its points, or long prose
 with few links, are kept with it. Menus, headers, footers, asides, forms, scripts, styles, hidden
 elements, and elements whose class, id or role names an advert, menu, notice or comments, are left
-out wherever they stand.
+out, but for wrappers: such an element that holds most of the page's text and its heading or article
+only says how the page looks, and a form around a page is no form. A title in a header element inside the
+article counts as header.
 
 Defined results: a null or empty page, and one without text outside such parts, has an empty text;
 unclosed and stray tags are repaired as browsers do for the common cases; a page cut inside a tag
@@ -66,14 +68,22 @@ WANTED = re.compile(r"(?:\A|[^a-z])(?:article|main|content|post|entry|story|body
 SPACES = re.compile(r"\s+")
 
 
+#: Of them, those of readers' comments.
+COMMENTS = re.compile(r"(?:\A|\s)(?!(?:has|no|with|without|show|hide|is)-)(?:\S*[^a-z\s])?(?:comments?|replies|disqus|respond)(?:\Z|[^a-z])")
+#: Text outside shunned elements below which a page counts as shunned whole.
+LITTLE = 100
+
+
 class Element:
-    __slots__ = ("name", "parent", "parts", "shunned", "wanted", "points", "length", "linked", "prose")
+    __slots__ = ("name", "parent", "parts", "shunned", "spared", "wanted", "points", "length", "linked", "prose")
 
-    def __init__(self, name: str, parent: Element | None, shunned: bool, wanted: bool) -> None:
+    def __init__(self, name: str, parent: Element | None, shunned: bool, wanted: bool, spared: str = "") -> None:
         self.name = name
         self.parent = parent
         self.parts: list[Element | str] = []
         self.shunned = shunned
+        #: why it is shunned, if it may yet be a wrapper of the article: "words", "comments" or "form"
+        self.spared = spared
         self.wanted = wanted
         self.points = 0.0
         self.length = 0
@@ -81,21 +91,22 @@ class Element:
         self.prose = 0
 
 
-def marks(attributes: str) -> tuple[bool, bool]:
-    """Whether the attributes say that the element is no article text, or that it is."""
+def marks(attributes: str) -> tuple[str, bool]:
+    """What the attributes shun the element for ("hidden", "comments", "words" or nothing), and whether they want it."""
     if not attributes.strip(" /"):
-        return False, False
-    shunned = wanted = False
+        return "", False
+    shunned, wanted = "", False
     for name, *values in ATTRIBUTE.findall(attributes):
         name, value = name.lower(), unescape("".join(values)).lower()
         if name in ("class", "id", "role"):
             value = value.replace("_", "-")
-            shunned |= SHUNNED.search(value) is not None
+            if SHUNNED.search(value) is not None:
+                shunned = shunned or ("comments" if COMMENTS.search(value) else "words")
             wanted |= WANTED.search(value) is not None
         elif name == "hidden" or name == "aria-hidden" and value == "true":
-            shunned = True
+            shunned = "hidden"
         elif name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
-            shunned = True
+            shunned = "hidden"
     return shunned, wanted
 
 
@@ -120,9 +131,12 @@ def parse(page: str) -> Element:
             at = closed(at, name)
             continue
         at = opened(at, name)
-        shunned, wanted = marks(tag.group(3))
-        shunned &= name not in ("html", "body", "article", "main")
-        element = Element(name, at, shunned or name in LEFT_OUT, wanted or name in ("article", "main"))
+        reason, wanted = marks(tag.group(3))
+        if name in ("html", "body", "article", "main"):
+            reason = ""
+        left_out = name in LEFT_OUT and name != "form"
+        spared = "" if left_out or reason == "hidden" else reason or ("form" if name == "form" else "")
+        element = Element(name, at, bool(reason) or name in LEFT_OUT, wanted or name in ("article", "main"), spared)
         at.parts.append(element)
         if name in RAW:
             stop = re.compile(rf"</{re.escape(name)}(?=[\s/>])[^>]*>", re.I).search(page, place)
@@ -159,6 +173,49 @@ def closed(at: Element, name: str) -> Element:
     return up.parent if up is not None and up.parent is not None else at
 
 
+def spare_wrappers(root: Element) -> None:
+    """Take back the shunning of wrappers: a word in a class may only say how the page looks.
+
+    An element that is shunned for its words, or as a form, but holds more than half of the page's
+    text outside links, and the top heading, ``main`` or (unless it is about comments) an ``article``,
+    is a wrapper of the article. Where hardly any text is outside shunned elements, the one with most
+    text is taken for a wrapper.
+    """
+    size: dict[int, int] = {}
+    holds: dict[int, bool] = {}
+    order: list[tuple[Element, bool]] = [(root, False)]
+    seen: list[Element] = []
+    while order:  # parents before children
+        element, link = order.pop()
+        seen.append(element)
+        size[id(element)] = 0 if link else sum(len(p.strip()) for p in element.parts if isinstance(p, str))
+        holds[id(element)] = element.name in ("h1", "main", "article")
+        order += [(p, link or p.name == "a") for p in element.parts if isinstance(p, Element) and (not p.shunned or p.spared)]
+    top = {id(e): e.name in ("h1", "main") for e in seen}
+    for element in reversed(seen[1:]):
+        up = id(element.parent)
+        size[up] += size[id(element)]
+        top[up] |= top[id(element)]
+        holds[up] |= holds[id(element)]
+    whole, outside, shut = size[id(root)], size[id(root)], []
+    under: set[int] = set()
+    for element in seen:
+        if id(element.parent) in under:
+            under.add(id(element))
+        elif element.shunned:
+            told = top[id(element)] or holds[id(element)] and element.spared != "comments"
+            if 2 * size[id(element)] > whole and told:
+                element.shunned = False
+            else:
+                under.add(id(element))
+                outside -= size[id(element)]
+                shut.append(element)
+    if outside < LITTLE and shut:
+        most = max(shut, key=lambda e: size[id(e)])
+        if size[id(most)] > outside and most.spared != "comments":
+            most.shunned = False
+
+
 class Blocks:
     """Blocks of text in page order, each with the block element it stands in and its length in links."""
 
@@ -254,7 +311,9 @@ def kept_roots(rows: list[tuple[Element, str]]) -> list[Element]:
 
 def main_text(page: str | None) -> str:
     """The blocks of the article in page order, parted by empty lines."""
-    rows = gather(parse(page)) if page else []
+    root = parse(page or "")
+    spare_wrappers(root)
+    rows = gather(root)
     if not rows:
         return ""
     kept = {id(k) for k in kept_roots(rows)}
