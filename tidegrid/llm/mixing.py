@@ -71,7 +71,8 @@ def fit_words(docs: DataFrame, labelled: DataFrame, domains: list[str], key: str
     log_priors = [math.log((sizes.get(d, 0) + 1) / (total + k)) for d in domains]
     everywhere = sum(F.col(f"n{i}") for i in range(k))
     overall = (everywhere + 1) / F.lit(total + 2)
-    ratios = [F.log(((F.col(f"n{i}") + overall) / F.lit(sizes.get(d, 0) + 1)) / overall) for i, d in enumerate(domains)]
+    # seen over expected, each with one document more: where hardly any is expected, none is no evidence
+    ratios = [F.log((F.col(f"n{i}") + 1) / (F.lit(sizes.get(d, 0)) * overall + 1)) for i, d in enumerate(domains)]
     told = counts.where(everywhere >= LEAST_DOCS).select("word", everywhere.alias("seen"), *[r.alias(f"l{i}") for i, r in enumerate(ratios)])
     tells = sum(F.abs(F.col(f"l{i}")) for i in range(k)) * F.sqrt("seen")
     best = told.orderBy(tells.desc(), "word").limit(vocabulary)
