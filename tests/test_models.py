@@ -9,6 +9,7 @@ from tidegrid.models.counts import (
     coefficient_rows,
     count_log_likelihoods,
     design_rank,
+    find_aliases,
     fit_negative_binomial,
     fit_poisson,
     from_glm,
@@ -118,6 +119,22 @@ def test_an_exact_alias_is_found_before_the_fit(spark, designed):
     assert design_rank(constant.transform(df.drop("features"))) == (10, 9)
     with pytest.raises(ValueError, match="rank"):
         require_full_rank(bad)
+    found = find_aliases(bad, [*design.names, "copy"])
+    assert [a.column for a in found] == ["copy"] and abs(found[0].intercept) < 1e-9
+    assert dict(found[0].parts) == pytest.approx({"x": 2.0, "hour[1]": -1.0})
+    told = find_aliases(constant.transform(df.drop("features")), [*design.names, "one"])
+    assert [(a.column, a.intercept, a.parts) for a in told] == [("one", 1.0, ())]
+    assert find_aliases(df, design.names) == []
+    with pytest.raises(ValueError, match="copy = .*2\\*x"):
+        require_full_rank(bad, names=[*design.names, "copy"])
+
+
+def test_a_feature_that_is_an_outcome_of_its_hour_is_refused():
+    from tidegrid.plans.declared import Declared, require_no_leaks
+
+    require_no_leaks([Declared("a"), Declared("b", role="leak_if_unlagged")])
+    with pytest.raises(ValueError, match="'a'"):
+        require_no_leaks([Declared("a"), Declared("a", role="leak_if_unlagged")])
 
 
 def test_fill_and_scale_learn_from_training_only(spark):

@@ -15,6 +15,7 @@ from tidegrid.models.counts import (
     coefficient_table,
     count_log_likelihoods,
     design_rank,
+    find_aliases,
     fit_poisson,
     from_glm,
     nb_alpha,
@@ -236,6 +237,25 @@ def rank_check(spark, sf_dir):
     return spark.createDataFrame(rows, "design string, columns int, rank int, identified boolean")
 
 
+@query(
+    "design_aliases",
+    f"""WITH {HOURS}, x AS (SELECT hour::DOUBLE AS h, n_events::DOUBLE AS n, 2 * hour - 0.5::DOUBLE * n_events + 5 AS y FROM hours),
+    s AS (SELECT covar_pop(y, h) AS yh, covar_pop(y, n) AS yn, covar_pop(h, n) AS hn, var_pop(h) AS hh, var_pop(n) AS nn, avg(y) AS my, avg(h) AS mh, avg(n) AS mn FROM x),
+    b AS (SELECT (yh * nn - yn * hn) / (hh * nn - hn * hn) AS bh, (yn * hh - yh * hn) / (hh * nn - hn * hn) AS bn, my, mh, mn FROM s)
+    SELECT 'mixed' AS column_name, 'hour' AS source, round(bh, 6) AS weight FROM b UNION ALL SELECT 'mixed', 'n_events', round(bn, 6) FROM b
+    UNION ALL SELECT 'mixed', '(intercept)', round(my - bh * mh - bn * mn, 6) FROM b
+    UNION ALL SELECT 'three', '(intercept)', round(avg(3.0::DOUBLE), 6) FROM x""",
+)
+def aliases(spark, sf_dir):
+    """Columns of a design that earlier ones give back, with their weights: one mixed on purpose, one constant."""
+    mixed = 2 * F.col("hour") - 0.5 * F.col("n_events") + 5
+    terms = [(c, F.col(c)) for c in ("hour", "n_events", "sum_value")]
+    design = Design((*terms, ("mixed", mixed), ("three", F.lit(3.0))))
+    rows = stage(design.transform(entity_hours(spark, sf_dir).withColumn("sum_value", F.coalesce("sum_value", F.lit(0.0)))))
+    found = [(a.column, source, weight) for a in find_aliases(rows, design.names) for source, weight in [*a.parts, ("(intercept)", a.intercept)]]
+    return rounded(spark.createDataFrame(found, "column_name string, source string, weight double"))
+
+
 @query("glm_poisson")
 def poisson_scores(spark, sf_dir):
     """Both count models beside the benchmark on the test rows."""

@@ -45,12 +45,57 @@ def design_rank(df: DataFrame, features: str = "features", tolerance: float = 1e
     return len(variance) + 1, rank
 
 
-def require_full_rank(df: DataFrame, features: str = "features") -> None:
-    columns, rank = design_rank(df, features)
-    if rank < columns:
-        raise ValueError(
-            f"design has {columns} columns but rank {rank}: a term is an exact combination of others"
-        )
+@dataclass(frozen=True)
+class Alias:
+    """A design column that is ``intercept`` plus a weighted sum of earlier columns, on every row."""
+
+    column: str
+    intercept: float
+    parts: tuple[tuple[str, float], ...]
+
+    def __str__(self) -> str:
+        return " ".join([f"{self.column} = {self.intercept:g}", *[f"{w:+g}*{name}" for name, w in self.parts]])
+
+
+def find_aliases(df: DataFrame, names: Sequence[str], features: str = "features", tolerance: float = 1e-9) -> list[Alias]:
+    """Columns of the design that earlier ones give back, each with its combination.
+
+    Means, deviations and the p x p correlation matrix are summed over rows in the cluster. Their
+    Cholesky factor is built column by column in the declared order: a column whose square that is
+    left falls to ``tolerance`` adds nothing, and the factor gives its weights. It is left out, so a
+    group of collinear columns loses as many as it has too many, and the earlier ones stay.
+    """
+    row = df.select(Summarizer.metrics("mean", "variance").summary(F.col(features)).alias("s")).select("s.*").head()
+    mean, spread = row["mean"].toArray(), np.sqrt(row["variance"].toArray())
+    matrix = Correlation.corr(df, features).head()[0].toArray()
+    factor = np.zeros((0, 0))
+    kept: list[int] = []
+    found = []
+    for j, name in enumerate(names):
+        if not spread[j] > 0:
+            found.append(Alias(name, float(mean[j]), ()))
+            continue
+        part = np.linalg.solve(factor, matrix[kept, j]) if kept else np.zeros(0)
+        left = 1.0 - part @ part
+        if left <= tolerance:
+            weights = np.linalg.solve(factor.T, part) * spread[j] / spread[kept]
+            told = [(names[k], float(w)) for k, w in zip(kept, weights, strict=True) if abs(w) * spread[k] > 1e-6 * spread[j]]
+            base = float(mean[j] - sum(w * mean[names.index(n)] for n, w in told))
+            found.append(Alias(name, base, tuple(told)))
+            continue
+        grown = np.zeros((len(kept) + 1, len(kept) + 1))
+        grown[:-1, :-1], grown[-1, :-1], grown[-1, -1] = factor, part, math.sqrt(left)
+        factor = grown
+        kept.append(j)
+    return found
+
+
+def require_full_rank(df: DataFrame, features: str = "features", names: Sequence[str] | None = None) -> None:
+    """Fail when a design column is an exact combination of earlier ones, and say of which."""
+    size = len(df.select(features).head()[0])
+    found = find_aliases(df, list(names) if names is not None else [f"x{i}" for i in range(size)], features)
+    if found:
+        raise ValueError(f"design has rank {size + 1 - len(found)} of {size + 1}: a term is an exact combination of others: " + "; ".join(map(str, found)))
 
 
 def pearson_dispersion(df: DataFrame, label: str, fitted: str, parameters: int) -> DataFrame:

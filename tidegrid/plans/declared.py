@@ -62,3 +62,12 @@ def features(columns: Iterable[Declared], *kinds: str) -> list[Declared]:
     """Features of the kinds, each name once."""
     found = {c.name: c for c in columns if c.role == "feature" and c.kind in kinds}
     return list(found.values())
+
+
+def require_no_leaks(columns: Iterable[Declared], leaking: str = "leak_if_unlagged") -> None:
+    """Fail when a column is declared both a feature and an outcome of the same hour."""
+    columns = list(columns)
+    outcomes = {c.name for c in columns if c.role == leaking}
+    both = sorted(c.name for c in columns if c.role == "feature" and c.name in outcomes)
+    if both:
+        raise ValueError(f"outcomes of the same hour among the features: {both}")

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegrid.models.counts import LogLinear, fit_negative_binomial, fit_poisson, from_glm, nb_alpha
+from tidegrid.models.counts import LogLinear, fit_negative_binomial, fit_poisson, from_glm, nb_alpha, require_full_rank
 from tidegrid.models.design import (
     Design,
     apply_fill,
@@ -17,10 +17,11 @@ from tidegrid.models.design import (
     fit_scale,
     glm_design,
     levels_of,
+    require_complete,
 )
 from tidegrid.models.trees import TreeFeatures
 from tidegrid.plans import sites
-from tidegrid.plans.declared import features, filled
+from tidegrid.plans.declared import features, filled, require_no_leaks
 from tidegrid.plans.model_table import DECLARED, history_table, model_table
 from tidegrid.sources.staging import stage
 
@@ -82,6 +83,8 @@ def count_study(spark: SparkSession, sf_dir: str) -> CountStudy:
     fill = fit_fill(train, ZERO_FILL, MEDIAN_FILL, BOOLEANS)
     filled = apply_fill(table, fill)
     filled_train = filled.where(F.col("split") == "train")
+    require_no_leaks(DECLARED)
+    require_complete(filled, [*INDICATORS, *CONTINUOUS])
     scale = fit_scale(filled_train, CONTINUOUS)
     varying = [c for c in CONTINUOUS if scale[c][1] > 0]
     scaled = apply_scale(filled, scale)
@@ -120,17 +123,25 @@ class CountFits:
 
 
 def fit_counts(spark: SparkSession, sf_dir: str) -> CountFits:
-    """Poisson, then the dispersion it leaves, then a negative binomial on the same design."""
+    """Poisson, then the dispersion it leaves, then a negative binomial on the same design.
+
+    A leaking feature, a null left after filling, an alias in the design or a fit that does not
+    converge is an error.
+    """
     study = count_study(spark, sf_dir)
+    require_full_rank(study.train, names=study.design.names)
     poisson = fit_poisson(study.train, "n_events")
     start = from_glm(poisson)
     alpha = nb_alpha(start.predict(study.train, "_mu"), "n_events", "_mu").head()["alpha"]
     nb = fit_negative_binomial(study.train, "n_events", alpha, start)
+    if not nb.converged:
+        raise ValueError(f"the negative binomial did not converge in {nb.iterations} steps")
     return CountFits(study, poisson, nb, alpha)
 
 
 def value_rows(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """Train and test rows where the value target is defined."""
+    """Train and test rows where the value target is defined; a leaking feature is an error."""
+    require_no_leaks(DECLARED)
     table = _usable(spark, sf_dir).where(F.col("mean_value").isNotNull())
     return table.where(F.col("split") == "train"), table.where(F.col("split") == "test")
 
