@@ -1,10 +1,13 @@
+import math
+
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from tidegrid.operators.evaluate import (
     autocorrelation,
-    bias_by_bin,
     bias_shape,
+    horizon_decay,
     combine_revenue,
     error_metrics,
     poisson_deviance,
@@ -69,18 +72,30 @@ def test_error_on_dropped_rows_comes_from_sums_of_squares(spark):
 @pytest.mark.parametrize(
     "error, shape",
     [
-        (lambda i: (i - 50) / 10.0, "attenuation"),
-        (lambda i: 5.0 + (0.1 if i % 20 < 10 else -0.1), "level shift"),
-        (lambda i: 8.0 if 30 <= i < 40 else (0.3 if i % 20 < 10 else -0.3), "concentrated"),
+        (lambda i: (i - 49.5) / 10.0 + 0.2, "slope"),
+        (lambda i: 5.0 + (0.1 if i % 20 < 10 else -0.1), "level"),
+        (lambda i: 1.0 if i % 2 else -1.0, "none"),
     ],
 )
 def test_bias_shapes(spark, error, shape):
-    df = spark.createDataFrame(
-        [(float(i), float(i) + error(i), error(i)) for i in range(100)], "p double, y double, r double"
-    )
-    profile = bias_by_bin(df, "p", "y", "r", 10)
-    row = bias_shape(profile, df.agg(F.avg("r")).scalar(), F.lit(1.0)).head()
-    assert row["shape"] == shape
+    rows = [(float(i), float(i) + error(i), error(i)) for i in range(100)]
+    df = spark.createDataFrame([*rows, (None, 1.0, 9.0)], "p double, y double, r double")
+    row = bias_shape(df, "r", "p").head()
+    p, r = np.array([x[0] for x in rows]), np.array([x[2] for x in rows])
+    slope, level = np.polyfit(p, r, 1)
+    left = r - slope * p - level
+    assert row["shape"] == shape and row["n"] == 100 and row["slope"] == pytest.approx(slope, abs=1e-9)
+    assert row["slope_se"] == pytest.approx(math.sqrt(left @ left / 98 / ((p - p.mean()) ** 2).sum()), rel=1e-6, abs=1e-9)
+    assert row["level_share"] + row["slope_share"] == pytest.approx(1 - left @ left / (r @ r), abs=1e-9)
+
+
+def test_a_bias_that_fades_and_one_that_does_not(spark):
+    rows = [(f"2024-01-{d:02d}", 10.0 - d) for d in range(1, 11)]
+    df = spark.createDataFrame(rows, "d string, r double").withColumn("d", F.col("d").cast("date"))
+    row = horizon_decay(df, "r", F.col("d")).head()
+    assert (row["at_start"], row["at_end"], row["slope"]) == (pytest.approx(9), pytest.approx(0, abs=1e-9), pytest.approx(-1)) and row["fades"]
+    assert not horizon_decay(df, "r", F.col("d"), fades_to=-1.0).head()["fades"]
+    assert horizon_decay(df.withColumn("r", F.lit(4.0)), "r", F.col("d")).head()["fades"] is False
 
 
 def test_autocorrelation_does_not_bridge_a_removed_hour(spark):

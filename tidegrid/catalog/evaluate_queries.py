@@ -214,33 +214,25 @@ def bins(spark, sf_dir):
     return rounded(bias_by_bin(_test(spark, sf_dir), "pred_n", "n_events", "residual", 10))
 
 
+LINE = """count(*) AS n, avg(y) AS m, avg(y * y) AS q, var_pop(y) AS vy, avg(x) AS mx, var_pop(x) AS vx, covar_pop(y, x) AS c, min(x) AS x0, max(x) AS x1"""
+SLOPE_SE = "sqrt(greatest(vy - c / vx * c, 0) / ((n - 2) * vx))"
+
+
 @query(
     "bias_shape",
-    f"""WITH {BINS}, k AS (SELECT bin, rank() OVER (ORDER BY mean_error) AS a, rank() OVER (ORDER BY mean_predicted) AS b FROM profile),
-    r AS (SELECT (SELECT stddev_samp(mean_error) FROM profile) AS bin_scatter, (SELECT bin FROM profile ORDER BY abs(mean_error) DESC, bin LIMIT 1) AS peak_bin,
-      (SELECT mean_error FROM profile ORDER BY bin LIMIT 1) AS quietest_error, (SELECT mean_error FROM profile ORDER BY bin DESC LIMIT 1) AS busiest_error,
-      (SELECT corr(a, b) FROM k) AS trend, (SELECT avg(residual) FROM test) AS mean_bias,
-      (SELECT 100 * (avg(n_events) FILTER (split = 'test') / avg(n_events) FILTER (split = 'train') - 1) FROM hist) AS level_change_pct)
-    SELECT round(bin_scatter, 6) AS bin_scatter, peak_bin, round(quietest_error, 6) AS quietest_error, round(busiest_error, 6) AS busiest_error, round(trend, 6) AS trend,
-      round(mean_bias, 6) AS mean_bias, round(level_change_pct, 6) AS level_change_pct,
-      CASE WHEN abs(trend) > 0.8 THEN 'attenuation' WHEN bin_scatter < 0.5 * abs(mean_bias) THEN 'level shift' ELSE 'concentrated' END AS shape,
-      (level_change_pct > 0) = (mean_bias > 0) AS level_explains_sign FROM r""",
+    f"""WITH {NAIVE}, l AS (SELECT {LINE} FROM (SELECT residual AS y, pred_n AS x FROM test))
+    SELECT n, round(m, 6) AS mean_error, round(c / vx, 6) AS slope, round({SLOPE_SE}, 6) AS slope_se, round(m * m / q, 6) AS level_share, round(c / vx * c / q, 6) AS slope_share,
+      CASE WHEN greatest(m * m / q, c / vx * c / q) < 0.01 THEN 'none' WHEN m * m / q >= c / vx * c / q THEN 'level' ELSE 'slope' END AS shape FROM l""",
 )
 def shape(spark, sf_dir):
-    table = history_table(spark, sf_dir)
-    test = _test(spark, sf_dir)
-    profile = bias_by_bin(test, "pred_n", "n_events", "residual", 10)
-    level = table.agg(
-        F.avg(F.when(F.col("split") == "test", F.col("n_events"))).alias("b"),
-        F.avg(F.when(F.col("split") == "train", F.col("n_events"))).alias("a"),
-    ).select(F.lit(100.0) * (F.col("b") / F.col("a") - 1))
-    return rounded(bias_shape(profile, test.agg(F.avg("residual")).scalar(), level.scalar()))
+    return rounded(bias_shape(_test(spark, sf_dir), "residual", "pred_n"))
 
 
 @query(
     "horizon_decay",
-    f"""WITH {NAIVE}, p AS (SELECT date, avg(residual) AS e FROM test GROUP BY date)
-    SELECT round(arg_min(e, date), 6) AS first_period, round(arg_max(e, date), 6) AS last_period, abs(arg_max(e, date)) < 0.25 * abs(arg_min(e, date)) AS decays FROM p""",
+    f"""WITH {NAIVE}, l AS (SELECT {LINE} FROM (SELECT residual AS y, date - DATE '1970-01-01' AS x FROM test))
+    SELECT n, round(c / vx, 6) AS slope, round({SLOPE_SE}, 6) AS slope_se, round(m + c / vx * (x0 - mx), 6) AS at_start, round(m + c / vx * (x1 - mx), 6) AS at_end,
+      abs(m + c / vx * (x1 - mx)) <= 0.5 * abs(m + c / vx * (x0 - mx)) AS fades FROM l""",
 )
 def decay(spark, sf_dir):
     return rounded(horizon_decay(_test(spark, sf_dir), "residual", F.col("date")))

@@ -238,54 +238,58 @@ def bias_by_bin(df: DataFrame, predicted: str, actual: str, residual: str, bins:
     )
 
 
-def bias_shape(
-    profile: DataFrame, overall_bias: Column, level_change: Column, monotone_above: float = 0.8
-) -> DataFrame:
-    """Name the shape of a one-signed bias from its profile over predicted level.
-
-    A rank trend beyond the threshold is attenuation; little scatter against the overall bias
-    is a level shift; anything else is concentrated, with the bin where it peaks.
+def _line(df: DataFrame, y: Column, x: Column) -> DataFrame:
+    """Least squares of ``y`` on ``x`` from one aggregate: n, means, slope and its standard error, range of x."""
+    both = df.select(y.cast("double").alias("_y"), x.cast("double").alias("_x")).where(F.col("_y").isNotNull() & F.col("_x").isNotNull())
+    row = both.agg(
+        F.count("*").alias("n"),
+        F.avg("_y").alias("mean"),
+        F.avg(F.col("_y") * F.col("_y")).alias("square"),
+        F.var_pop("_y").alias("_vy"),
+        F.avg("_x").alias("_mx"),
+        F.var_pop("_x").alias("_vx"),
+        F.covar_pop("_y", "_x").alias("_c"),
+        F.min("_x").alias("_x0"),
+        F.max("_x").alias("_x1"),
+    ).withColumn("slope", F.try_divide("_c", "_vx"))
+    left = F.greatest(F.col("_vy") - F.col("slope") * F.col("_c"), F.lit(0.0))
+    return row.withColumn("slope_se", F.sqrt(F.try_divide(left, (F.col("n") - 2) * F.col("_vx"))))
+
+
+def bias_shape(df: DataFrame, residual: str, predicted: str, least_share: float = 0.01) -> DataFrame:
+    """How much of the squared error a constant and a trend over the predicted level account for.
+
+    The mean square of the residual parts exactly into that of its mean, that of its line over the
+    prediction, and the rest. The shape is the larger of the first two, or ``none`` where neither
+    reaches ``least_share``; the slope comes with its standard error.
     """
-    # One row per bin, so this window never holds more rows than there are bins.
-    bins = W.partitionBy(F.lit(1))
-
-    def average_rank(column: str) -> Column:
-        ties = W.partitionBy(column)
-        return F.rank().over(bins.orderBy(column)) + (F.count("*").over(ties) - 1) / F.lit(2.0)
-
-    ranked = profile.select(
-        "*", average_rank("mean_error").alias("_re"), average_rank("mean_predicted").alias("_rp")
+    row = _line(df, F.col(residual), F.col(predicted)).select(
+        "n",
+        F.col("mean").alias("mean_error"),
+        "slope",
+        "slope_se",
+        F.try_divide(F.col("mean") * F.col("mean"), F.col("square")).alias("level_share"),
+        F.coalesce(F.try_divide(F.col("slope") * F.col("_c"), F.col("square")), F.lit(0.0)).alias("slope_share"),
     )
-    row = ranked.agg(
-        F.stddev_samp("mean_error").alias("bin_scatter"),
-        F.min_by("bin", F.struct(-F.abs("mean_error"), "bin")).alias("peak_bin"),
-        F.min_by("mean_error", "bin").alias("quietest_error"),
-        F.max_by("mean_error", "bin").alias("busiest_error"),
-        F.corr("_re", "_rp").alias("trend"),
-    ).select("*", overall_bias.alias("mean_bias"), level_change.alias("level_change_pct"))
     shape = first_label(
         [
-            ("attenuation", F.abs("trend") > monotone_above),
-            ("level shift", F.col("bin_scatter") < 0.5 * F.abs("mean_bias")),
+            ("none", F.greatest("level_share", "slope_share") < least_share),
+            ("level", F.col("level_share") >= F.col("slope_share")),
         ],
-        "concentrated",
-    )
-    return row.select(
-        "*",
-        shape.alias("shape"),
-        ((F.col("level_change_pct") > 0) == (F.col("mean_bias") > 0)).alias("level_explains_sign"),
+        "slope",
     )
+    return row.select("*", shape.alias("shape"))
 
 
-def horizon_decay(df: DataFrame, residual: str, period: Column) -> DataFrame:
-    """Mean residual in the first and last period, and whether the bias has decayed."""
-    by_period = df.groupBy(period.alias("_p")).agg(F.avg(residual).alias("_e"))
-    row = by_period.agg(
-        F.min_by("_e", "_p").alias("first_period"), F.max_by("_e", "_p").alias("last_period")
-    )
-    return row.select(
-        "*", (F.abs("last_period") < 0.25 * F.abs("first_period")).alias("decays")
-    )
+def horizon_decay(df: DataFrame, residual: str, period: Column, fades_to: float = 0.5) -> DataFrame:
+    """The line of the residual over the days of the horizon, its ends, and whether the bias fades.
+
+    It fades where the end of the line is within ``fades_to`` of its start, in size.
+    """
+    line = _line(df, F.col(residual), F.unix_date(period.cast("date")))
+    ends = [(F.col("mean") + F.col("slope") * (F.col(x) - F.col("_mx"))).alias(name) for x, name in (("_x0", "at_start"), ("_x1", "at_end"))]
+    row = line.select("n", "slope", "slope_se", *ends)
+    return row.select("*", (F.abs("at_end") <= F.lit(fades_to) * F.abs("at_start")).alias("fades"))
 
 
 def attribute_bias(
