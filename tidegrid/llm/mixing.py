@@ -83,21 +83,18 @@ def posteriors(docs: DataFrame, words: DataFrame, log_priors: list[float], key:
     """``key, mix_text, mix_copies, mix_tokens, mix_p`` for each key and text: tokens and the posterior over domains."""
     k = len(log_priors)
     trimmed = F.btrim(F.coalesce(F.col(text), F.lit("")), F.lit(" \t\n\x0b\f\r"))
-    # a mark after the last word is in the vocabulary, so that the inner join keeps one row for each text
+    # a mark after the last word tells how many there are, also of a text without any
     marked = F.concat(F.split(trimmed, WORDS), F.array(F.lit(MARK)))
     # in a projection of its own below the generator, so that hash and cut are made once for each text
     cut = docs.select(F.col(key), F.xxhash64(text).alias("mix_text"), (trimmed == "").cast("long").alias("empty"), marked.alias("marked"))
     each = cut.select(key, "mix_text", "empty", F.posexplode("marked").alias("at", "word"))
-    known = words.where(F.col("word") != MARK).unionByName(
-        words.sparkSession.range(1).select(F.lit(MARK).alias("word"), *[F.lit(0.0).alias(f"l{i}") for i in range(k)])
-    )
-    # at most ``vocabulary`` rows and one
-    met = each.join(F.broadcast(known), "word")
+    # at most ``vocabulary`` rows; every word keeps its row, so the work is the same whatever words are known
+    met = each.join(F.broadcast(words.where(F.col("word") != MARK)), "word", "left")
     last = F.col("word") == MARK
     sums = met.groupBy(key, "mix_text").agg(
         F.sum(F.when(last, F.col("at") - F.col("empty")).otherwise(0)).alias("in_all"),
         F.count_if(last).alias("mix_copies"),
-        F.count_if(~last).alias("hits"),
+        F.count("l0").alias("hits"),
         *[F.sum(f"l{i}").alias(f"s{i}") for i in range(k)],
     )
     scale = F.lit(SHARPNESS) / F.greatest(F.lit(1.0), F.sqrt(F.col("hits") / F.col("mix_copies")) * F.col("mix_copies"))
