@@ -223,8 +223,8 @@ def test_common_lines_are_removed_and_depleted_documents_rejected(spark):
     rows += [(200 + i, f"{boiler}\n{body(200 + i, 80)}", "other") for i in range(5)]
     rows += [(300 + i, "copied line " + body(7, 60), "h") for i in range(40)] + [(400, None, None)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
-    for block in (1 << 22, 1):
-        got = {r["doc_id"]: r for r in line_rules.line_rules(docs, least=10, share=0.01, cleaned="clean", block_lines=block).collect()}
+    for salts in (32, 1):
+        got = {r["doc_id"]: r for r in line_rules.line_rules(docs, least=10, share=0.01, cleaned="clean", salts=salts).collect()}
         assert all(got[i]["kept"] and got[i]["clean"] == body(i, 80) and got[i]["n_words_left"] == 80 for i in range(30))
         assert not any(got[100 + i]["kept"] or got[100 + i]["base_failed"] for i in range(3))
         assert all(got[200 + i]["kept"] and got[200 + i]["n_words_left"] == 140 for i in range(5))
@@ -251,8 +251,10 @@ def test_licences(spark):
     assert scan_licences(docs.limit(0), ["doc_id"]).count() == 0
 
 
-def test_bits_of_slots():
-    from tidegrid.llm.storage import in_slots
+def test_slots_keep_what_is_there(spark):
+    from tidegrid.llm.storage import in_slots, slots_of
 
-    bits = np.packbits(np.array([0, 1, 0, 0, 0, 0, 0, 0, 1, 0, 0, 0, 0, 0, 0, 0], dtype=bool))
-    assert in_slots(bits, np.arange(16)).nonzero()[0].tolist() == [1, 8]
+    some = spark.range(0, 3000, 3).withColumnRenamed("id", "key")
+    left = in_slots(spark.range(3000).withColumnRenamed("id", "bucket"), "bucket", slots_of(some, "key"))
+    kept = {r["bucket"] for r in left.collect()}
+    assert kept >= set(range(0, 3000, 3)) and len(kept) < 1100 and left.columns == ["bucket"]

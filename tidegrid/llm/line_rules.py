@@ -7,14 +7,15 @@ whatever the size of the host, so a verdict does not turn as the host grows. A `
 host's documents can be asked for on top, but by no query. Common lines are removed, and a document
 that loses more than ``depleted`` of its words is rejected, as are those that fail the base rules.
 
-The counting is one aggregation over (host, line, text) keys, so a line that all documents share is
-summed in parts. The common lines then pass over the documents in blocks of bounded size, each
-broadcast to a narrow pass; their number of blocks, not their size, grows with the corpus.
+One pass parts the texts into rows of (host, text, line), written once. Counting is an aggregate over
+them, so a line that all documents share is summed in parts. The rows are joined to the common lines,
+salted by text, and summed to the lost words of each text, which join the documents, salted by row. Nothing
+of the corpus passes through the driver, and only keys and numbers are shuffled, unless the cleaned text is asked for.
 
 Defined results: a null or empty text has no words and fails the base rules; lines without a word
 count nowhere; a null host is a host of its own; repeated rows are judged each and counted once; an
 empty table gives an empty result; other columns pass through, but the names of the result
-columns replace columns of the same name, and names that start with ``rules_`` are taken.
+columns replace columns of the same name, whatever their case.
 """
 
 from __future__ import annotations
@@ -26,8 +27,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from tidegrid.llm.storage import small_batches, staged
+from tidegrid.llm.storage import small_batches, spare, staged
 from tidegrid.llm.words import BLANK, LOWER, U, Texts, Words, grams, mix, slices, span_keys, words_of
 
 SYMBOL = np.zeros(256, dtype=bool)
@@ -36,8 +38,11 @@ SYMBOL[list(b"#*$%&|<>")] = True
 LEAST = 20
 SHARE = 0.0
 DEPLETED = 0.5
-BLOCK_LINES = 1 << 22
+#: Tasks among which the rows of one line, or the copies of one text, can be dealt.
+SALTS = 32
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+COUNTED = StructType([StructField(c, LongType()) for c in COUNTS])
+ENTRY = ["host_key", "same", "line", "words"]
 
 
 class Lines(NamedTuple):
@@ -107,28 +112,32 @@ def profiled(texts: Texts) -> tuple[Words, Lines]:
     return words, lines_of(texts, words, span_keys(texts.data, words.start, words.end, LOWER))
 
 
-def line_counts(docs: DataFrame, text: str, host: str) -> DataFrame:
-    """``host_key, line, n``: distinct texts of the host that hold the line, and, as line null, all of its texts."""
+def line_entries(docs: DataFrame, text: str, host: str) -> DataFrame:
+    """``host_key, same, line, words``: a row for each line of each distinct text, with its words in all its places."""
 
     def emitted(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             hosts, same = batch.column(0).to_numpy(), batch.column(1).to_numpy()
             for texts in slices(batch.column(2)):
                 _, lines = profiled(texts)
-                pair = np.unique(np.stack((lines.owner.astype(np.int64), lines.key.view(np.int64))), axis=1)
-                rows = texts.first + pair[0]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(hosts[rows]), pa.array(same[rows]), pa.array(pair[1])], ["host_key", "same", "line"]
-                )
+                if not len(lines.owner):
+                    continue
+                order = np.lexsort((lines.key, lines.owner))
+                owner, key = lines.owner[order], lines.key[order]
+                first = np.flatnonzero(np.concatenate(([True], (owner[1:] != owner[:-1]) | (key[1:] != key[:-1]))))
+                rows = texts.first + owner[first]
+                words = np.add.reduceat(lines.words[order], first).astype(np.int64)
+                columns = [hosts[rows], same[rows], key[first].view(np.int64), words]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ENTRY)
 
     keyed = docs.select(F.xxhash64(host).alias("host_key"), F.xxhash64(text).alias("same"), F.col(text).cast("binary").alias("raw"))
-    each = keyed.mapInArrow(emitted, "host_key long, same long, line long")
-    return each.groupBy("host_key", "line").agg(F.count_distinct("same").alias("n"))
+    each = keyed.mapInArrow(emitted, "host_key long, same long, line long, words long")
+    return each.groupBy("host_key", "same", "line").agg(F.max("words").alias("words"))
 
 
-def common_lines(docs: DataFrame, text: str, host: str, least: int, share: float) -> DataFrame:
+def common_lines(entries: DataFrame, docs: DataFrame, text: str, host: str, least: int, share: float) -> DataFrame:
     """``host_key, line`` of the lines above both limits; without a share, hosts are not counted."""
-    counts = line_counts(docs, text, host).where(F.col("n") > least)
+    counts = entries.groupBy("host_key", "line").agg(F.count("*").alias("n")).where(F.col("n") > least)
     if not share:
         return counts.select("host_key", "line")
     sizes = docs.select(F.xxhash64(host).alias("host_key"), F.xxhash64(text).alias("same"))
@@ -136,14 +145,45 @@ def common_lines(docs: DataFrame, text: str, host: str, least: int, share: float
     return counts.join(sizes, "host_key").where(F.col("n") > share * F.col("docs")).select("host_key", "line")
 
 
-def blocks(common: DataFrame, most: int) -> list[DataFrame]:
-    """The common lines in parts of about ``most`` rows each."""
-    parts = max(1, -(-common.count() // most))
-    return [common.where(F.pmod(F.xxhash64("line"), F.lit(parts)) == i) for i in range(parts)]
+def salted(small: DataFrame, salts: int) -> DataFrame:
+    """Every row once for each ``salt``, so that rows of one key on the other side can go to as many tasks."""
+    return small.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
 
 
-def marked(host: np.ndarray, line: np.ndarray) -> np.ndarray:
-    return mix(host.view(U) * U(0xD6E8FEB86659FD93) + line.view(U))
+def lost_words(entries: DataFrame, common: DataFrame, salts: int) -> DataFrame:
+    """``host_key, same, lost, gone``: words and keys of the common lines of each text that has one."""
+    dealt = entries.withColumn("salt", F.pmod("same", F.lit(salts)).cast("int"))
+    hits = dealt.join(salted(common, salts), ["host_key", "line", "salt"])
+    return hits.groupBy("host_key", "same").agg(F.sum("words").alias("lost"), F.collect_list("line").alias("gone"))
+
+
+@F.arrow_udf(COUNTED)
+def counted(raw: pa.Array) -> pa.Array:
+    columns: list[list[np.ndarray]] = [[] for _ in COUNTS]
+    for texts in slices(raw):
+        for column, values in zip(columns, base_counts(texts, *profiled(texts)), strict=True):
+            column.append(values.astype(np.int64))
+    return pa.StructArray.from_arrays([pa.array(np.concatenate(c) if c else np.zeros(0, np.int64)) for c in columns], COUNTS)
+
+
+@F.arrow_udf(StringType())
+def without_lines(raw: pa.Array, gone: pa.Array) -> pa.Array:
+    """The texts without the lines of these keys; a line goes with the break behind it."""
+    left: list[str] = []
+    for texts in slices(raw):
+        _, lines = profiled(texts)
+        n = len(texts.offsets) - 1
+        first = np.searchsorted(lines.owner, np.arange(n + 1))
+        for i in range(n):
+            a, b = texts.offsets[i], texts.offsets[i + 1]
+            keep = np.ones(b - a, dtype=bool)
+            mine = slice(first[i], first[i + 1])
+            keys = np.array(gone[texts.first + i].as_py() or [], dtype=np.int64)
+            hit = np.flatnonzero(np.isin(lines.key[mine].view(np.int64), keys)) + first[i]
+            for h in hit.tolist():
+                keep[lines.start[h] - a : min(lines.end[h] + 1, b) - a] = False
+            left.append(texts.data[a:b][keep].tobytes().decode("utf-8", "replace"))
+    return pa.array(left, pa.string())
 
 
 def line_rules(
@@ -154,87 +194,47 @@ def line_rules(
     share: float = SHARE,
     depleted: float = DEPLETED,
     cleaned: str | None = None,
-    block_lines: int = BLOCK_LINES,
+    salts: int = SALTS,
 ) -> DataFrame:
     """``docs`` with COUNTS, ``n_words_left, base_failed, kept``, and the text without common lines as ``cleaned``."""
-    spark = docs.sparkSession
-    small_batches(spark)
-    common = staged(common_lines(docs, text, host, least, share))
+    small_batches(docs.sparkSession)
+    entries = staged(line_entries(docs, text, host))
+    lost = lost_words(entries, common_lines(entries, docs, text, host, least, share), salts)
     new = [*COUNTS, "n_words_left", "base_failed", "kept", *([cleaned] if cleaned else [])]
-    out = docs.select(
-        *[F.col(f"`{c}`") for c in docs.columns if c not in new],
-        F.xxhash64(host).alias("rules_host"),
-        F.col(text).cast("binary").alias("rules_text"),
-        F.array().cast("array<int>").alias("rules_gone"),
+    others = [c for c in docs.columns if c.lower() not in {n.lower() for n in new}]
+    key, same, salt, raw, told, words, gone = (
+        spare(f"rules_{c}", [*others, *new]) for c in ("host", "same", "salt", "text", "told", "lost", "gone")
     )
-    kinds = out.schema
-    names = out.columns
-
-    # each block adds the numbers of the lines (with a word) that it finds common
-    for part in blocks(common, block_lines):
-        told = part.toArrow()
-        keys = np.sort(marked(told.column("host_key").to_numpy(), told.column("line").to_numpy()))
-        sent = spark.sparkContext.broadcast(keys)
-
-        def mark(batches: Iterable[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
-            keys = sent.value
-            for batch in batches:
-                gone: list[list[int]] = []
-                hosts = batch.column(len(names) - 3).to_numpy()
-                before = batch.column(len(names) - 1).to_pylist()
-                for texts in slices(batch.column(len(names) - 2)):
-                    _, lines = profiled(texts)
-                    key = marked(hosts[texts.first + lines.owner], lines.key.view(np.int64))
-                    at = np.minimum(np.searchsorted(keys, key), max(0, len(keys) - 1))
-                    hit = np.flatnonzero(keys[at] == key) if len(keys) else np.zeros(0, np.int64)
-                    n = len(texts.offsets) - 1
-                    first = np.searchsorted(lines.owner, np.arange(n))
-                    found: list[list[int]] = [[] for _ in range(n)]
-                    for h in hit.tolist():
-                        found[lines.owner[h]].append(int(h - first[lines.owner[h]]))
-                    gone += [before[texts.first + i] + found[i] for i in range(n)]
-                yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(gone, pa.list_(pa.int32()))], names)
-
-        out = out.mapInArrow(mark, kinds)
-
-    def judge(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            columns: list[list[np.ndarray]] = [[] for _ in range(len(COUNTS) + 1)]
-            left: list[bytes | None] = []
-            gone = batch.column(len(names) - 1)
-            for texts in slices(batch.column(len(names) - 2)):
-                words, lines = profiled(texts)
-                n = len(texts.offsets) - 1
-                mine = gone.slice(texts.first, n)
-                flat = mine.flatten().to_numpy()
-                owner = np.repeat(np.arange(n), mine.value_lengths().to_numpy())
-                hit = np.searchsorted(lines.owner, owner) + flat
-                lost = np.bincount(owner, weights=lines.words[hit], minlength=n).astype(np.int64)
-                for column, values in zip(columns, [*base_counts(texts, words, lines), words.counts - lost], strict=True):
-                    column.append(values.astype(np.int64))
-                if cleaned:
-                    keep = np.ones(len(texts.data), dtype=bool)
-                    for h, o in zip(hit.tolist(), owner.tolist(), strict=True):
-                        keep[lines.start[h] : min(lines.end[h] + 1, texts.offsets[o + 1])] = False
-                    left += [texts.data[a:b][keep[a:b]].tobytes() for a, b in zip(texts.offsets[:-1], texts.offsets[1:], strict=True)]
-            values = [pa.array(np.concatenate(c) if c else np.zeros(0, np.int64)) for c in columns]
-            text_left = [pa.array([v.decode("utf-8", "replace") for v in left], pa.string())] if cleaned else []
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[: len(names) - 3], *values, *text_left],
-                [*names[:-3], *COUNTS, "n_words_left", *([cleaned] if cleaned else [])],
-            )
-
-    schema = out.drop("rules_host", "rules_text", "rules_gone").schema
-    for name in [*COUNTS, "n_words_left"]:
-        schema = schema.add(name, "long")
-    if cleaned:
-        schema = schema.add(cleaned, "string")
-    judged = out.mapInArrow(judge, schema)
-    return judged.withColumn("base_failed", failed()).withColumn(
-        "kept", ~F.col("base_failed") & (F.col("n_words_left") >= (1 - depleted) * F.col("n_words"))
+    body = F.col(text).cast("binary")
+    profile = docs.select(
+        *[F.col(f"`{c}`") for c in others],
+        F.xxhash64(host).alias(key),
+        F.xxhash64(text).alias(same),
+        # copies of one text can be a third of all rows: they meet its row in as many tasks as there are salts
+        F.pmod(F.monotonically_increasing_id(), F.lit(salts)).cast("int").alias(salt),
+        *([body.alias(raw)] if cleaned else []),
+        counted(body).alias(told),
+    )
+    keys = [key, same, salt]
+    if not cleaned:
+        lost = lost.drop("gone")
+    lost = salted(lost, salts)
+    lost = lost.select("host_key", "same", "salt", "lost", *(["gone"] if cleaned else [])).toDF(*keys, words, *([gone] if cleaned else []))
+    met = profile.join(lost, keys, "left")
+    n_words = F.col(f"{told}.n_words")
+    left = n_words - F.coalesce(F.col(words), F.lit(0))
+    fails = failed(n_words, F.col(f"{told}.n_repeat_words"))
+    none = F.array().cast("array<bigint>")
+    return met.select(
+        *[F.col(f"`{c}`") for c in others],
+        *[F.col(f"{told}.{c}").alias(c) for c in COUNTS],
+        left.alias("n_words_left"),
+        *([without_lines(F.col(raw), F.coalesce(F.col(gone), none)).alias(cleaned)] if cleaned else []),
+        fails.alias("base_failed"),
+        (~fails & (left >= (1 - depleted) * n_words)).alias("kept"),
     )
 
 
-def failed() -> Column:
+def failed(n_words: Column, n_repeat_words: Column) -> Column:
     """The base rules: too few words, or too many in repeated windows."""
-    return (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
+    return (n_words < 50) | (100 * n_repeat_words > 50 * n_words)
