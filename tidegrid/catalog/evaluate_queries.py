@@ -26,6 +26,7 @@ from tidegrid.operators.evaluate import (
     naive_benchmark,
     peak_and_trough,
     poisson_deviance,
+    profile_shape,
     residual_covariance,
     residual_report,
     score_common,
@@ -220,12 +221,29 @@ SLOPE_SE = "sqrt(greatest(vy - c / vx * c, 0) / ((n - 2) * vx))"
 
 @query(
     "bias_shape",
-    f"""WITH {NAIVE}, l AS (SELECT {LINE} FROM (SELECT residual AS y, pred_n AS x FROM test))
+    f"""WITH {BINS}, l AS (SELECT {LINE} FROM (SELECT residual AS y, pred_n AS x FROM test)),
+    k AS (SELECT rank() OVER (ORDER BY mean_error) + (count(*) OVER (PARTITION BY mean_error) - 1) / 2.0 AS a, rank() OVER (ORDER BY mean_predicted) + (count(*) OVER (PARTITION BY mean_predicted) - 1) / 2.0 AS b FROM profile),
+    r AS (SELECT (SELECT stddev_samp(mean_error) FROM profile) AS bin_scatter, (SELECT bin FROM profile ORDER BY abs(mean_error) DESC, bin LIMIT 1) AS peak_bin,
+      (SELECT mean_error FROM profile ORDER BY bin LIMIT 1) AS quietest_error, (SELECT mean_error FROM profile ORDER BY bin DESC LIMIT 1) AS busiest_error,
+      (SELECT corr(a, b) FROM k) AS trend, (SELECT avg(residual) FROM test) AS mean_bias,
+      (SELECT 100 * (avg(n_events) FILTER (split = 'test') / avg(n_events) FILTER (split = 'train') - 1) FROM hist) AS level_change_pct)
     SELECT n, round(m, 6) AS mean_error, round(c / vx, 6) AS slope, round({SLOPE_SE}, 6) AS slope_se, round(m * m / q, 6) AS level_share, round(c / vx * c / q, 6) AS slope_share,
-      CASE WHEN greatest(m * m / q, c / vx * c / q) < 0.01 THEN 'none' WHEN m * m / q >= c / vx * c / q THEN 'level' ELSE 'slope' END AS shape FROM l""",
+      CASE WHEN greatest(m * m / q, c / vx * c / q) < 0.01 THEN 'none' WHEN m * m / q >= c / vx * c / q THEN 'level' ELSE 'slope' END AS shape,
+      round(bin_scatter, 6) AS bin_scatter, peak_bin, round(quietest_error, 6) AS quietest_error, round(busiest_error, 6) AS busiest_error, round(trend, 6) AS trend,
+      round(mean_bias, 6) AS mean_bias, round(level_change_pct, 6) AS level_change_pct,
+      CASE WHEN abs(trend) > 0.8 THEN 'attenuation' WHEN bin_scatter < 0.5 * abs(mean_bias) THEN 'level shift' ELSE 'concentrated' END AS profile_shape,
+      (level_change_pct > 0) = (mean_bias > 0) AS level_explains_sign FROM l, r""",
 )
 def shape(spark, sf_dir):
-    return rounded(bias_shape(_test(spark, sf_dir), "residual", "pred_n"))
+    """The line through the errors, and beside it their profile over ten bins of the prediction and the change of the level."""
+    test = _test(spark, sf_dir)
+    profile = bias_by_bin(test, "pred_n", "n_events", "residual", 10)
+    level = history_table(spark, sf_dir).agg(
+        F.avg(F.when(F.col("split") == "test", F.col("n_events"))).alias("b"),
+        F.avg(F.when(F.col("split") == "train", F.col("n_events"))).alias("a"),
+    ).select(F.lit(100.0) * (F.try_divide(F.col("b"), F.col("a")) - 1))
+    line = bias_shape(test, "residual", "pred_n")
+    return rounded(line.crossJoin(profile_shape(profile, test.agg(F.avg("residual")).scalar(), level.scalar())))
 
 
 @query(
